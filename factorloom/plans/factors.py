@@ -4,29 +4,16 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import functions as F
-
 from ..factors import alpha101, gtja191
 from ..factors.staging import attach
 from ..sources.driver_tables import factor_panel
 from . import alpha101_sql, gtja191_sql
+from .common import tidy
 from .sql import factor_sql
 
 
-def settled(x):
-    """How results are compared: noise around zero removed, then 20 significant bits (Veltkamp split)."""
-    def split(v):
-        c = v * F.lit(8589934593.0)
-        return c - (c - v)
-
-    return (F.when(F.abs(x) < 1e-9, F.lit(0.0))
-            .when(F.abs(x) >= 1e290, split(x * F.lit(2.0 ** -100)) * F.lit(2.0 ** 100))
-            .otherwise(split(x)))
-
-
 def _run(factors, spark, sf_dir):
-    df = attach(factor_panel(spark, sf_dir), factors)
-    return df.select("ticker", "trade_date", *[settled(F.col(n)).alias(n) for n in factors])
+    return tidy(attach(factor_panel(spark, sf_dir), factors))
 
 
 SETS = {

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import factors
+from . import factors, metrics, portfolio, primitives, relational
 
-MODULES = (factors,)
+MODULES = (relational, primitives, metrics, portfolio, factors)
 
 
 def queries():
