@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def settled(x):
-    """How results are compared: noise around zero removed, then 20 significant bits (Veltkamp split)."""
+    """How results are compared: noise around zero removed, then 24 significant bits (Veltkamp split)."""
     def split(v):
-        c = v * F.lit(8589934593.0)
+        c = v * F.lit(536870913.0)
         return c - (c - v)
 
     return (F.when(F.abs(x) < 1e-9, F.lit(0.0))

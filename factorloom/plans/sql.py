@@ -60,8 +60,8 @@ def with_traded(body: str) -> str:
 
 
 def out(e: str) -> str:
-    """How results are compared: noise around zero removed, then 20 significant bits (Veltkamp split)."""
-    k, down, up = "8589934593.0::double", "pow(2.0, -100)", "pow(2.0, 100)"
+    """How results are compared: noise around zero removed, then 24 significant bits (Veltkamp split)."""
+    k, down, up = "536870913.0::double", "pow(2.0, -100)", "pow(2.0, 100)"
     return (f"case when abs({e}) < 1e-9 then 0.0::double when abs({e}) >= 1e290"
             f" then (({e}) * {down} * {k} - (({e}) * {down} * {k} - ({e}) * {down})) * {up}"
             f" else ({e}) * {k} - (({e}) * {k} - ({e})) end")

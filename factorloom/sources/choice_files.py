@@ -66,4 +66,11 @@ def parse_log(cleaned: DataFrame) -> DataFrame:
 
 
 def write_enriched(df: DataFrame, path: str, encoding="UTF-8") -> None:
-    df.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
+    """CSV with a header. Encodings beyond Spark's short list, such as GBK, need its Java charset switch."""
+    conf, name = df.sparkSession.conf, "spark.sql.legacy.javaCharsets"
+    before = conf.get(name)
+    try:
+        conf.set(name, "true")
+        df.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
+    finally:
+        conf.set(name, before)

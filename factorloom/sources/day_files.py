@@ -39,7 +39,11 @@ def read_day_files(spark: SparkSession, path: str) -> DataFrame:
 
     A file holds one ticker's days, a few hundred kilobytes for decades, so a file is a fit unit of work.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return decode(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def decode(files: DataFrame) -> DataFrame:
+    """Bars from (path, content) rows."""
     return percent_change(files.mapInArrow(_decode, SCHEMA), "chg_pct")
 
 
