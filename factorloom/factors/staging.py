@@ -145,7 +145,7 @@ def attach(panel: DataFrame, factors: dict[str, Factor]) -> DataFrame:
         if not ready:
             return df
         values = [c.alias(f"={n}") for n, c in ready.items()]
-        keep = [c for n in running for c in own[n]]
+        keep = dict.fromkeys(c for n in running for c in own[n])
         df = df.select(*KEYS, *base, *keep, *[F.col(f"`={n}`") for n in finished], *values)
         finished.extend(ready)
         ready.clear()
@@ -157,13 +157,17 @@ def attach(panel: DataFrame, factors: dict[str, Factor]) -> DataFrame:
             switched = True
             while wanted := {n: r for n, r in running.items() if r[1].key == key}:
                 df = settle(df)
-                new, given = {}, {}
+                new, given, same = {}, {}, {}
                 for name, (_, step) in wanted.items():
                     names = []
                     for column in step.columns:
-                        serial += 1
-                        names.append(f"_{serial}")
-                        new[names[-1]] = column
+                        # the same window asked for by several factors is computed once
+                        text = None if isinstance(column, DayRank) or len(factors) == 1 else str(column)
+                        if text is None or text not in same:
+                            serial += 1
+                            new[f"_{serial}"] = column
+                            same[text] = f"_{serial}"
+                        names.append(same[text])
                     own[name] += names
                     refs = [F.col(n) for n in names]
                     given[name] = refs[0] if len(refs) == 1 else tuple(refs)

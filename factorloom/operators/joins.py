@@ -51,33 +51,25 @@ def as_of(left: DataFrame, right: DataFrame, right_time: Column, values: list[st
           left_time="trade_date", order: list[str] | None = None) -> DataFrame:
     """For every left row the values of the newest right row at or before its time, NULL if there is none.
 
-    Both sides are stacked and sorted once per key; the last right row seen is carried forward. That is one exchange
-    and one sort, without the row blow-up of a range join. ``order`` breaks ties among right rows of one time.
+    The right side is first reduced to one row per key and time (the largest by ``order``, then by the values), with a
+    map-side maximum, so that copies cost nothing later. Then both sides are stacked and sorted once per key, and the
+    last right row seen is carried forward: one exchange and one sort, without the row blow-up of a range join.
     """
     own = left.columns
-    tie = order or []
-    stacked = left.select(
-        *own, F.col(left_time).alias("_t"), F.lit(1).alias("_side"),
-        F.lit(None).cast(_struct_type(right, values)).alias("_value"),
-        *[F.lit(None).cast(right.schema[c].dataType).alias(f"_o{i}") for i, c in enumerate(tie)])
-    other = right.select(
+    newest = (right.groupBy(F.col(key), right_time.alias("_t"))
+              .agg(F.max(F.struct(*(order or []), *[v for v in values if v not in (order or [])])).alias("_value")))
+    empty = F.lit(None).cast(newest.schema["_value"].dataType)
+    stacked = left.select(*own, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), empty.alias("_value"))
+    other = newest.select(
         *[F.col(c) if c == key else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in own],
-        right_time.alias("_t"), F.lit(0).alias("_side"), F.struct(*values).alias("_value"),
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(tie)])
-    w = (Window.partitionBy(key).orderBy("_t", "_side", *[f"_o{i}" for i in range(len(tie))])
-         .rowsBetween(Window.unboundedPreceding, 0))
+        "_t", F.lit(0).alias("_side"), "_value")
+    w = Window.partitionBy(key).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     return (stacked.unionByName(other)
             .withColumn("_value", F.last("_value", ignorenulls=True).over(w))
             .where("_side = 1")
             .select(*own, *[F.col(f"_value.{v}").alias(v) for v in values]))
 
 
-def _struct_type(df, names):
-    from pyspark.sql.types import StructType
-
-    return StructType([df.schema[n] for n in names])
-
-
 def fundamentals_as_of(panel: DataFrame, fundamentals: DataFrame, values: list[str]) -> DataFrame:
     """Latest figures published on or before each trade date."""
     return as_of(panel, fundamentals, F.to_date("act_pubtime"), values, order=["end_date"])

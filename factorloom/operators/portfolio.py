@@ -84,9 +84,13 @@ def spells(held: DataFrame) -> DataFrame:
 
 def closed_trades(runs: DataFrame, last_period: int | None = None) -> DataFrame:
     """Finished spells with their change; a spell that reaches the strategy's last period is still open."""
-    w = Window.partitionBy("strategy")
-    last = F.max("last_period").over(w) if last_period is None else F.lit(last_period)
-    return (runs.withColumn("_last", last).where("last_period < _last")
+    if last_period is None:
+        # one row per strategy, reduced before it is joined back
+        ends = runs.groupBy("strategy").agg(F.max("last_period").alias("_last"))
+        runs = runs.join(ends, "strategy")
+    else:
+        runs = runs.withColumn("_last", F.lit(last_period))
+    return (runs.where("last_period < _last")
             .withColumn("chg_pct", div("sale_price", "buy_price") - 1).drop("_last"))
 
 
