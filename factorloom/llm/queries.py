@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .common import table
 
 
@@ -24,11 +26,25 @@ def op6_packing(spark, sf_dir):
     return packed.drop("ids")
 
 
+def op7_embedding_near_dedup(spark, sf_dir):
+    from . import vector_cells
+
+    return vector_cells.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op8_simhash_near_dedup(spark, sf_dir):
+    from . import simhash
+
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_pieces(spark, sf_dir):
     from . import pieces
 
     return pieces.digest(pieces.encode(table(spark, sf_dir, "documents"), _public("piece_bpe_32k.model")))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_packing, op10_pieces)}
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op10_pieces)}
 ORACLES: dict[str, str] = {}
