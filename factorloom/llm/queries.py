@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import line_dedup
 from .common import table
 
 
@@ -19,6 +20,10 @@ def op1_secret_scan(spark, sf_dir):
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op6_packing(spark, sf_dir):
     from . import packing
 
@@ -46,5 +51,5 @@ def op10_pieces(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op10_pieces)}
-ORACLES: dict[str, str] = {}
+    op1_secret_scan, op2_line_dedup, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op10_pieces)}
+ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL}
