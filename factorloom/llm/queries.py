@@ -24,6 +24,16 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op5_bottom_k(spark, sf_dir):
+    from . import sketch
+
+    found = sketch.edited_likeness(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                        sketch.fingerprint(F.col("sketch")).alias("fingerprint"),
+                        sketch.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+                        "near_edited", "near_next", "shingles", "held")
+
+
 def op6_packing(spark, sf_dir):
     from . import packing
 
@@ -51,5 +61,5 @@ def op10_pieces(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op2_line_dedup, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op10_pieces)}
+    op1_secret_scan, op2_line_dedup, op5_bottom_k, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op10_pieces)}
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL}

@@ -14,7 +14,8 @@ from .common import parts_for, whole_text
 K = 128
 SHINGLE = 5
 SPAN = 2.0 ** 64
-RANGE_ROWS = 4096  # documents of one range when documents are put in order
+RANGE_ROWS = 1024  # documents of one range when documents are put in order,
+RANGES = 4096  # up to so many ranges
 
 
 def hashes(text, shingle: int = SHINGLE) -> Column:
@@ -98,39 +99,55 @@ def merged(parts: DataFrame, key: str, k: int = K) -> DataFrame:
     return ranked.groupBy(key).agg(F.array_sort(F.collect_list("h")).alias("sketch"))
 
 
+def _longs(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
+
+
+def _range_of(id_, starts: list[int]) -> Column:
+    """Number of the values in ``starts`` (sorted) that are at most ``id_``, by halving; 0 for null."""
+    steps = [1 << i for i in range(max(1, len(starts)).bit_length() - 1, -1, -1)]
+
+    def step(at, width):
+        there = F.get(_longs(starts), at + width - 1)
+        return F.when(F.coalesce(there <= id_, F.lit(False)), at + width).otherwise(at)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+
+
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` with ``next_`` before each of ``columns``: the value of the row that follows by doc_id (null first, then
     by text); the last row is followed by the first.
 
-    Rows go to ranges of doc_id with bounds taken from the data, one exchange; a range's first rows are dealt to the
-    range before as well, so that its last row finds its successor there.
+    Rows go to ranges of doc_id, at most ``RANGES``, in one exchange. A range's first rows are dealt to the range before
+    as well, so that its last row finds its successor there.
     """
     id_ = F.col("doc_id").cast("long")
-    n = docs.count()
-    ranges = parts_for(n, RANGE_ROWS)
-    # quantiles are values of the data: a bound is the first doc_id of its range
-    bounds = sorted(set(docs.select(id_.alias("doc_id")).approxQuantile(
-        "doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges))) if ranges > 1 else []
-    bounds = [int(b) for b in bounds]
-    first = docs.agg(F.count_if(id_.isNull()).alias("nulls"), F.min(id_).alias("least")).first()
-    first = None if n == 0 or first["nulls"] else first["least"]
-    edge = F.array(*map(F.lit, bounds)).cast("array<bigint>")
-    place = F.when(id_.isNull(), F.lit(0)).otherwise(
-        F.aggregate(edge, F.lit(0), lambda at, b: at + F.when(id_ >= b, 1).otherwise(0)))
-    start = F.array_contains(edge, F.coalesce(id_, F.lit(0))) & id_.isNotNull() if bounds else F.lit(False)
-    none = F.lit(None).cast("struct<at:int,guest:int>")
-
-    def stay(at, guest):
-        return F.struct(at.cast("int").alias("at"), F.lit(guest).cast("int").alias("guest"))
-
-    dealt = docs.withColumn("place_", place).withColumn("to_", F.explode(F.filter(F.array(
-        stay(F.col("place_"), 0), F.when(start, stay(F.col("place_") - 1, 1)).otherwise(none),
-        F.when(id_.eqNullSafe(F.lit(first).cast("long")), stay(F.lit(len(bounds)), 2)).otherwise(none)),
-        lambda x: x.isNotNull())))
-    order = Window.partitionBy("to_.at").orderBy("to_.guest", F.asc_nulls_first("doc_id"), "text")
-    for c in columns:
-        dealt = dealt.withColumn(f"next_{c}", F.lead(c).over(order))
-    return dealt.where("to_.guest = 0").drop("place_", "to_")
+    ids = docs.select(id_.alias("doc_id"))
+    n = ids.count()
+    ranges = min(RANGES, parts_for(n, RANGE_ROWS))
+    cuts = [] if ranges < 2 else ids.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges)
+    # the ids that do come first in their range, whatever the quantiles' precision
+    firsts = sorted({r["first"] for r in ids.groupBy(_range_of(id_, sorted({int(c) for c in cuts})).alias("at")).agg(
+        F.min("doc_id").alias("first"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).collect()
+        if r["first"] is not None})
+    nulls = n > 0 and not ids.where("doc_id is null").isEmpty()
+    head, starts = (None, firsts) if nulls or not firsts else (firsts[0], firsts[1:])
+    at = _range_of(id_, starts)
+    leads = F.coalesce(F.array_contains(_longs(starts), id_), F.lit(False))
+
+    def seat(place, guest, holds):
+        there = F.struct(F.expr(str(place)).alias("at") if isinstance(place, int) else place.alias("at"),
+                         F.lit(guest).alias("guest"))
+        return F.when(holds, there)
+
+    dealt = (docs.withColumn("at_", at)
+             .withColumn("seat_", F.explode(F.filter(F.array(
+                 seat(F.col("at_"), 0, F.lit(True)), seat(F.col("at_") - 1, 1, leads),
+                 seat(len(starts), 2, id_.eqNullSafe(F.lit(head).cast("long")))), lambda x: x.isNotNull())))
+             .withColumns({"at_": F.col("seat_.at"), "guest_": F.col("seat_.guest")}).drop("seat_"))
+    order = Window.partitionBy("at_").orderBy("guest_", F.asc_nulls_first("doc_id"), "text")
+    dealt = dealt.withColumn("follows_", F.lead(F.struct(*columns)).over(order)).where("guest_ = 0")
+    return dealt.withColumns({f"next_{c}": F.col(f"follows_.{c}") for c in columns}).drop("at_", "guest_", "follows_")
 
 
 def edited_likeness(docs: DataFrame, k: int = K, shingle: int = SHINGLE) -> DataFrame:
