@@ -54,6 +54,12 @@ def op8_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_quality(spark, sf_dir):
+    from . import quality
+
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op10_pieces(spark, sf_dir):
     from . import pieces
 
@@ -61,5 +67,5 @@ def op10_pieces(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op2_line_dedup, op5_bottom_k, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op10_pieces)}
+    op1_secret_scan, op2_line_dedup, op5_bottom_k, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_quality, op10_pieces)}
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL}
