@@ -35,7 +35,7 @@ el los las por para con se del una lo como y
 SYMBOLS = b"|%&$*#@^~<>{}[]_=+\\/!"
 EDGE = ".,;:!?%*&$#|\"'()"
 
-HEURISTICS = ("symbols", "capitals", "repetition", "function_words", "sentence_ends", "word_length", "variety", "lines")
+HEURISTICS = ("symbols", "symbol_words", "capitals", "repetition", "function_words", "sentence_ends", "word_length", "variety", "lines")
 
 
 def _vote(value, good, bad):
@@ -53,6 +53,7 @@ def votes(text: str) -> list[int]:
         return [-1] * len(HEURISTICS)
     raw = text.encode()
     symbols = (len(raw) - len(raw.translate(None, SYMBOLS))) / len(raw)
+    marked = sum(w[-1] in "|%&$*#@^~<>{}[]_=+" for w in words) / n
     capitals = sum(w[:2].isupper() and len(w) > 1 for w in words) / n
     repetition = sum(map(eq, words, words[1:])) / n
     function = sum(w.strip(EDGE).lower() in FUNCTION_WORDS for w in words) / n
@@ -63,6 +64,7 @@ def votes(text: str) -> list[int]:
     short = n < 30  # then shares of words say little
     return [
         _vote(symbols, (0, 0.02), [(0.05, 1)]),
+        _vote(marked, (0, 0.05), [(0.15, 1)]),
         _vote(capitals, (0, 0.1), [(0.3, 1)]),
         _vote(repetition, (0, 0.06), [(0.2, 1)]),
         1 if short else _vote(function, (0.08, 0.6), [(0, 0.03)]),
@@ -169,7 +171,7 @@ def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             yield texts.map(votes)
 
     text = whole_text()
-    patterns = docs.select(cast(text).alias("votes")).groupBy("votes").count().collect()  # at most 3 ** 8 rows
+    patterns = docs.select(cast(text).alias("votes")).groupBy("votes").count().collect()  # at most 3 ** 9 rows
     if not patterns:
         return np.ones(1), np.ones((1, len(HEURISTICS), 3)), np.zeros(BUCKETS + 2)
     share, table = fit_votes([(list(r["votes"]), r["count"]) for r in patterns])
