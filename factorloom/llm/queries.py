@@ -24,6 +24,12 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op4_class_lm(spark, sf_dir):
+    from . import class_lm
+
+    return class_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_bottom_k(spark, sf_dir):
     from . import sketch
 
@@ -67,5 +73,5 @@ def op10_pieces(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op2_line_dedup, op5_bottom_k, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_quality, op10_pieces)}
+    op1_secret_scan, op2_line_dedup, op4_class_lm, op5_bottom_k, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_quality, op10_pieces)}
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL}
