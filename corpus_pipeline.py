@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factorloom.llm import packing, secrets
+from factorloom.llm import line_dedup, packing, quality, secrets, simhash
 from factorloom.llm.common import stored, table
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.keep_good(docs)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines of three-line windows that occurred before."""
+    return line_dedup.remove_repeats(docs).select(*docs.columns)
+
+
+def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of SimHash near-duplicates: that with the least id."""
+    return simhash.keep_first(docs)
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces every secret that the scan reports; keeps every document."""
+    """All documents, every secret that the scan reports replaced by a mark."""
     return secrets.redact(docs)
 
 
@@ -20,9 +35,15 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("secret scans", redact_secrets), ("packing", pack)]
+STAGES = [
+    ("quality classifier", keep_good),
+    ("line dedup", drop_lines),
+    ("SimHash near-dedup", keep_first),
+    ("secret scans", redact_secrets),
+    ("packing", pack),
+]
 
-#: The tokenizer, the trained scorer and the trees have no SQL; tests hold the stages against brute force.
+#: The trained scorer, the trees and the tokenizer have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
