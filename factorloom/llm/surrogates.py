@@ -117,7 +117,7 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int) -> str:
     draw = _Stream(key, f"{kind}|{attempt}|{form}")
     if kind in ("phone", "card", "ssn"):
         digits = [str(draw.below(10)) for _ in form]
-        digits[0] = str(1 + draw.below(9)) if form[0] != "0" else "0"
+        digits[0] = str(1 + draw.below(9))
         if kind == "card" and _luhn(form) == 0:
             digits[-1] = next(d for d in "0123456789" if _luhn("".join(digits[:-1]) + d) == 0)
         return "".join(digits)
