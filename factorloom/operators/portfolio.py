@@ -85,9 +85,7 @@ def spells(held: DataFrame) -> DataFrame:
 def closed_trades(runs: DataFrame, last_period: int | None = None) -> DataFrame:
     """Finished spells with their change; a spell that reaches the strategy's last period is still open."""
     if last_period is None:
-        # one row per strategy, reduced before it is joined back
-        ends = runs.groupBy("strategy").agg(F.max("last_period").alias("_last"))
-        runs = runs.join(ends, "strategy")
+        runs = runs.withColumn("_last", F.max("last_period").over(Window.partitionBy("strategy")))
     else:
         runs = runs.withColumn("_last", F.lit(last_period))
     return (runs.where("last_period < _last")

@@ -42,7 +42,7 @@ def add(name, sql, ctes=""):
 
 @add("s01_bar_scan", f"select {BAR_SQL} from bars where trade_date between date '1997-01-01' and date '1998-12-31'")
 def _(spark, sf):
-    return readers.bars(d.bars(spark, sf).select(*BAR), "1997-01-01", "1998-12-31")
+    return readers.bars(d.bars(spark, sf, start="1997-01-01", end="1998-12-31").select(*BAR), "1997-01-01", "1998-12-31")
 
 
 @add("s02_instruments", "select ticker, case when ticker % 4 = 0 then 'ETF' else 'LOF' end as etf_lof"
@@ -54,7 +54,7 @@ def _(spark, sf):
 @add("s03_fund_bars", f"select {BAR_SQL} from bars where ticker % 4 = 0"
      " and trade_date between date '1996-01-01' and date '1999-12-31'")
 def _(spark, sf):
-    return readers.bars(d.fund_day(spark, sf).select(*BAR), "1996-01-01", "1999-12-31")
+    return readers.bars(d.fund_day(spark, sf, "1996-01-01", "1999-12-31").select(*BAR), "1996-01-01", "1999-12-31")
 
 
 @add("s04_calendar", "select trade_date, is_open, is_month_end from (select distinct trade_date from bars)"
@@ -76,7 +76,7 @@ def _(spark, sf):
 @add("s06_intraday", f"select ticker, trade_date, {out('kclose')} as close from k60"
      " where trade_date between date '1996-01-01' and date '1999-12-31'", K60)
 def _(spark, sf):
-    return readers.intraday(d.k60(spark, sf), "1996-01-01", "1999-12-31")
+    return readers.intraday(d.k60(spark, sf, "1996-01-01", "1999-12-31"), "1996-01-01", "1999-12-31")
 
 
 def _log_lines(spark, sf):
@@ -124,7 +124,7 @@ def _(spark, sf):
 
 @add("p03_date_range", f"select {BAR_SQL} from bars where trade_date >= date '1999-06-01'")
 def _(spark, sf):
-    return filters.date_range(d.bars(spark, sf), "1999-06-01").select(*BAR)
+    return filters.date_range(d.bars(spark, sf, start="1999-06-01"), "1999-06-01").select(*BAR)
 
 
 @add("p04_conditions", f"select {BAR_SQL} from bars where open_price > 0 and open_price < 1500 and chg_pct < 0.5"
@@ -175,7 +175,7 @@ def _(spark, sf):
 
 @add("p09_one_day", f"select {BAR_SQL} from bars where trade_date = date '1998-03-02'")
 def _(spark, sf):
-    return filters.one_day(d.bars(spark, sf), "1998-03-02").select(*BAR)
+    return filters.one_day(d.bars(spark, sf, start="1998-03-02", end="1998-03-02"), "1998-03-02").select(*BAR)
 
 
 @add("p10_complete_rows", f"select ticker, trade_date, {out('v')} as v60, {out('e')} as ep from"
@@ -412,8 +412,9 @@ def _(spark, sf):
 @add("o05_difference", "select ticker, trade_date from bars where open_price = 0")
 def _(spark, sf):
     keys = ["ticker", "trade_date"]
-    df = d.bars(spark, sf).select(*keys, "open_price")
-    return df.select(*keys).join(df.where("open_price > 0").select(*keys), keys, "left_anti")
+    # what is in one set and not in the other, in one pass over both
+    return d.bars(spark, sf).groupBy(*keys).agg(F.count_if(F.col("open_price") > 0).alias("_taken")).where(
+        "_taken = 0").select(*keys)
 
 
 @add("g0_complete_history", f"select {BAR_SQL} from (select *, row_number() over (partition by ticker order by"
@@ -461,7 +462,7 @@ def _(spark, sf):
      " using (trade_date) group by trade_date", CALENDAR)
 def _(spark, sf):
     days = cal.trade_dates(d.trade_calendar(spark), "1997-01-01", "1997-12-31")
-    return (days.join(d.bars(spark, sf), "trade_date", "left")
+    return (days.join(d.bars(spark, sf, start="1997-01-01", end="1997-12-31"), "trade_date", "left")
             .groupBy("trade_date").agg(F.count("ticker").alias("bars")))
 
 

@@ -18,12 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _raw_bars(spark, sf_dir, tickers=TICKERS) -> DataFrame:
-    ordered = "struct(l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity)"
+# The order of a bar's rows: date, order, line, part and extended price as one number. A number is a fixed-width
+# aggregation buffer, so first and last price need no sort. Rows alike in all five have one price.
+PLACE = ("cast(datediff(l_shipdate, date'1970-01-01') as decimal(5,0)) * 1000000000000000000000000000000000BD"
+         " + cast(l_orderkey as decimal(12,0)) * 1000000000000000000000BD + l_linenumber * 100000000000000000000BD"
+         " + cast(l_partkey as decimal(11,0)) * 1000000000BD + cast(round(l_extendedprice * 100) as decimal(9,0))")
+
+
+def _raw_bars(spark, sf_dir, tickers=TICKERS, start=None, end=None) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    # a week's bar holds seven days from its Monday on
+    if start is not None:
+        lines = lines.where(F.col("l_shipdate") >= F.expr(f"trunc(date'{start}' + 6, 'week')").cast(lines.schema["l_shipdate"].dataType))
+    if end is not None:
+        lines = lines.where(F.col("l_shipdate") < F.expr(f"trunc(date'{end}', 'week') + 7").cast(lines.schema["l_shipdate"].dataType))
     return (
-        table(spark, sf_dir, "lineitem")
-        .selectExpr(f"l_partkey % {tickers} as ticker", "trunc(to_date(l_shipdate), 'week') as trade_date",
-                    "try_divide(l_extendedprice, l_quantity) as price", f"{ordered} as place",
+        lines
+        .selectExpr(f"l_partkey % {tickers} as ticker" if tickers else "l_partkey as ticker",
+                    "trunc(to_date(l_shipdate), 'week') as trade_date",
+                    "try_divide(l_extendedprice, l_quantity) as price", f"cast({PLACE} as decimal(38,0)) as place",
                     "l_quantity", "l_extendedprice", "l_discount", "l_tax")
         .groupBy("ticker", "trade_date")
         .agg(*map(F.expr, [
@@ -34,10 +47,15 @@ def _raw_bars(spark, sf_dir, tickers=TICKERS) -> DataFrame:
     )
 
 
-def bars(spark: SparkSession, sf_dir: str, tickers: int = TICKERS) -> DataFrame:
-    """Weekly bars, suspended ones included (open, volume and value are 0 there)."""
+def bars(spark: SparkSession, sf_dir: str, tickers: int | None = TICKERS, start: str | None = None,
+         end: str | None = None) -> DataFrame:
+    """Weekly bars, suspended ones included (open, volume and value are 0 there).
+
+    ``tickers`` folds the parts into so many tickers; with None every part is one. ``start`` and ``end`` restrict the
+    trade dates in the scan; a ticker's first bar from ``start`` on then has no bar before it.
+    """
     return (
-        _raw_bars(spark, sf_dir, tickers)
+        _raw_bars(spark, sf_dir, tickers, start, end)
         .selectExpr("*", f"floor(datediff(trade_date, date'{EPOCH}') / 7) as weeks")
         .selectExpr("*", "(ticker * 7 + weeks) % 41 = 0 as suspended",
                     "ticker = 5 and weeks % 50 = 0 as no_ratio",
@@ -60,8 +78,8 @@ def bars(spark: SparkSession, sf_dir: str, tickers: int = TICKERS) -> DataFrame:
     )
 
 
-def traded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bars(spark, sf_dir).where("open_price > 0")
+def traded(spark: SparkSession, sf_dir: str, tickers: int | None = TICKERS) -> DataFrame:
+    return bars(spark, sf_dir, tickers).where("open_price > 0")
 
 
 def equity(spark, sf_dir) -> DataFrame:
@@ -85,8 +103,8 @@ def fund(spark, sf_dir) -> DataFrame:
         "ticker", F.when(F.col("ticker") % 4 == 0, "ETF").otherwise("LOF").alias("etf_lof"))
 
 
-def fund_day(spark, sf_dir) -> DataFrame:
-    return bars(spark, sf_dir).where(F.col("ticker") % 4 == 0)
+def fund_day(spark, sf_dir, start=None, end=None) -> DataFrame:
+    return bars(spark, sf_dir, start=start, end=end).where(F.col("ticker") % 4 == 0)
 
 
 def trade_calendar(spark, sf_dir=None) -> DataFrame:
@@ -131,9 +149,9 @@ def ps_pit(spark, sf_dir) -> DataFrame:
     )
 
 
-def k60(spark, sf_dir) -> DataFrame:
+def k60(spark, sf_dir, start=None, end=None) -> DataFrame:
     """Intraday reference close for the liquid bars only."""
-    return (bars(spark, sf_dir).where("turnover_vol >= 100 and open_price > 0")
+    return (bars(spark, sf_dir, start=start, end=end).where("turnover_vol >= 100 and open_price > 0")
             .select("ticker", "trade_date", F.col("open_price").alias("open"),
                     ((F.col("open_price") + F.col("close_price")) / 2).alias("close")))
 
