@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import xs
 from ..functions.scalar import snap
+from ..functions.ts import Carried, carry
 
 KEYS = ["ticker", "trade_date"]
 
@@ -114,6 +115,17 @@ def _add_days(df: DataFrame, columns: dict, switched: bool, spread: bool) -> Dat
     return df.withColumns({n: F.col(a) for n, a in alias.items() if n != a}) if len(alias) > len(ranks) else df
 
 
+def _text(column) -> str:
+    return f"carried {column.x}" if isinstance(column, Carried) else str(column)
+
+
+def _add_tickers(df: DataFrame, columns: dict) -> DataFrame:
+    """Add the columns of one by-ticker step, then carry forward those that ask for it."""
+    carried = {n: carry(n) for n, c in columns.items() if isinstance(c, Carried)}
+    df = df.withColumns({n: c.x if n in carried else c for n, c in columns.items()})
+    return df.withColumns(carried) if carried else df
+
+
 def attach(panel: DataFrame, factors: dict[str, Factor]) -> DataFrame:
     """The panel's key plus one column per factor."""
     b = inputs()
@@ -162,7 +174,7 @@ def attach(panel: DataFrame, factors: dict[str, Factor]) -> DataFrame:
                     names = []
                     for column in step.columns:
                         # the same window asked for by several factors is computed once
-                        text = None if isinstance(column, DayRank) or len(factors) == 1 else str(column)
+                        text = None if isinstance(column, DayRank) or len(factors) == 1 else _text(column)
                         if text is None or text not in same:
                             serial += 1
                             new[f"_{serial}"] = column
@@ -173,7 +185,7 @@ def attach(panel: DataFrame, factors: dict[str, Factor]) -> DataFrame:
                     given[name] = refs[0] if len(refs) == 1 else tuple(refs)
                 if switched and spread:
                     df = df.repartition(spread, key)
-                df = df.withColumns(new) if key == "ticker" else _add_days(df, new, switched, bool(spread))
+                df = _add_tickers(df, new) if key == "ticker" else _add_days(df, new, switched, bool(spread))
                 switched = False
                 for name, (gen, _) in wanted.items():
                     advance(name, gen, given[name])

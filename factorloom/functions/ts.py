@@ -7,6 +7,7 @@ Rolling results are NULL until ``min_periods`` non-missing values (default: the
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
@@ -182,9 +183,22 @@ def slope_of_index(x, n, critical_t=None):
     return F.when(r2 >= critical_t ** 2 / (critical_t ** 2 + n - 2), result)
 
 
+@dataclass(frozen=True)
+class Carried:
+    """A window column whose last value holds until there is a new one. Spark allows no window inside a window, so
+    whoever adds the column carries it forward in a second one over the same sorted rows."""
+
+    x: Column
+
+
+def carry(name: str) -> Column:
+    return F.last(name, ignorenulls=True).over(running())
+
+
 def _ewm(x, alpha, adjust):
-    # weights below 1e-15 are cut, so the frame has a fixed length instead of the whole history
-    rows = math.ceil(34.6 / -math.log(1 - alpha)) + 1
+    # At a row with a value, the fold looks back so far that what lies before has less than 1e-15 of that row's weight.
+    # In a gap, however long, the mean stays what it was.
+    rows = 1 if alpha >= 1 else math.ceil(34.6 / -math.log(1 - alpha)) + 1
     x = col(x)
     new = 1.0 if adjust else alpha
 
@@ -198,15 +212,15 @@ def _ewm(x, alpha, adjust):
 
     start = F.struct(F.lit(None).cast("double").alias("mean"), F.lit(1.0).alias("weight"))
     items = F.collect_list(F.struct(x.cast("double").alias("x"))).over(last(rows))
-    return F.aggregate(items, start, step, lambda acc: acc["mean"])
+    return Carried(F.when(x.isNotNull(), F.aggregate(items, start, step, lambda acc: acc["mean"])))
 
 
-def ewm(x, alpha=None, span=None):
+def ewm(x, alpha=None, span=None) -> Carried:
     """Exponential mean with adjusted weights; a gap still ages the older weights."""
     return _ewm(x, alpha or 2 / (span + 1), True)
 
 
-def ewm_recursive(x, alpha=None, span=None):
+def ewm_recursive(x, alpha=None, span=None) -> Carried:
     """Exponential mean seeded with the first value."""
     return _ewm(x, alpha or 2 / (span + 1), False)
 

@@ -31,7 +31,7 @@ def _(spark, sf):
     values = {"seq": F.col("ticker"), "name": F.lit("股票"), "ticker": F.lpad(F.col("ticker").cast("string"), 6, "0"),
               "industry": F.lit("汽车"), "sub_industry": F.lit("零部件"), "buy_date": F.col("trade_date"),
               "sale_date": F.col("sale_date"), "buy_price": F.col("buy_price"), "sale_price": F.col("buy_price"),
-              "change": F.lit("-1.34%")}
+              "change": F.lit("-5.00%")}
     named = [values[n].alias(c) for c, (n, _) in choice_files.CHOICE_COLUMNS.items()]
     path = scratch.folder(spark, "choices")
     choice_files.write_enriched(d.choice(spark, sf).select(*named), path)

@@ -86,7 +86,7 @@ def _log_lines(spark, sf):
     price = F.format_string("%.2f", F.round("buy_price", 2))
     return c.select(F.concat(
         F.col("ticker").cast("string"), F.lit("股票 ("), F.lpad(F.col("ticker").cast("string"), 6, "0"),
-        F.lit(") 汽车 -- 零部件 "), "day", F.lit(" "), "day", F.lit(" "), price, F.lit(" "), price, F.lit(" -1.34%"),
+        F.lit(") 汽车 -- 零部件 "), "day", F.lit(" "), "day", F.lit(" "), price, F.lit(" "), price, F.lit(" -5.00%"),
     ).alias("value"))
 
 
@@ -94,7 +94,7 @@ def _log_lines(spark, sf):
      "select ticker::int as seq, '股票' as name, lpad(ticker::varchar, 6, '0') as ticker, '汽车' as industry,"
      " '零部件' as sub_industry, cast('202' || substr(trade_date::varchar, 4) as date) as buy_date,"
      " cast('202' || substr(trade_date::varchar, 4) as date) as sale_date,"
-     f" {out('round(buy_price, 2)')} as buy_price, {out('round(buy_price, 2)')} as sale_price, '-1.34%' as change"
+     f" {out('round(buy_price, 2)')} as buy_price, {out('round(buy_price, 2)')} as sale_price, '-5.00%' as change"
      " from choice", CHOICE)
 def _(spark, sf):
     return choice_files.parse_log(choice_files.clean_log(_log_lines(spark, sf)))

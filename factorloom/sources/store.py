@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +13,14 @@ from ..operators.metrics import SelectMetric, append_metric
 KEYS = ["ticker", "trade_date"]
 
 
-def metric_key(metric: SelectMetric) -> str:
-    """Folder name of a metric: its name and arguments, since equal names may differ in these."""
-    args = [a for a in metric.args if not isinstance(a, DataFrame)]
-    return metric.name if not args else f"{metric.name}-" + "-".join(str(a) for a in args)
+def metric_key(metric: SelectMetric, panel: str = "") -> str:
+    """Folder name of a metric: panel, name, function and arguments. A frame among the arguments has no name that tells
+    it from others, so such a metric must be given as one whose function closes over it, under a name of its own."""
+    if any(isinstance(a, DataFrame) for a in metric.args):
+        raise ValueError(f"{metric.name}: a frame as an argument cannot be part of a key")
+    function = getattr(metric.func, "__qualname__", type(metric.func).__name__)
+    text = json.dumps([panel, metric.name, getattr(metric.func, "__module__", ""), function, [repr(a) for a in metric.args]])
+    return f"{metric.name}-{hashlib.sha256(text.encode()).hexdigest()[:16]}"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -23,15 +28,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def stored_metric(panel: DataFrame, metric: SelectMetric, store: str, reset_cache=False) -> DataFrame:
+def stored_metric(bars: DataFrame, metric: SelectMetric, store: str, reset_cache=False, panel: str = "") -> DataFrame:
     """The metric from the store, computed and written first if it is not there or is to be reset.
 
-    One Parquet folder per metric and arguments; returns (ticker, trade_date, <name>).
+    One Parquet folder per panel, metric, function and arguments; returns (ticker, trade_date, <name>). ``panel`` names
+    the bars: what was stored under the same name is returned whatever ``bars`` holds now, until it is reset.
     """
-    spark = panel.sparkSession
-    path = f"{store}/metric={metric_key(metric)}"
+    spark = bars.sparkSession
+    path = f"{store}/metric={metric_key(metric, panel)}"
     if reset_cache or not _exists(spark, f"{path}/_SUCCESS"):
-        append_metric(panel, metric).select(*KEYS, metric.name).write.mode("overwrite").parquet(path)
+        append_metric(bars, metric).select(*KEYS, metric.name).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from factorloom.factors import staging
 from factorloom.functions import scalar, ts, xs
 
 X = {1: [3, 1, 4, None, 5, 9, 2, 6], 2: [2, 7, 1, 8, 2, 8, 1, 8]}
@@ -12,7 +13,8 @@ Y = {1: [1, 2, 3, 4, 5, 6, 7, 8], 2: [5, 5, 5, 5, 5, 5, 5, 5]}
 
 
 def column(df, expr):
-    rows = df.select("ticker", "trade_date", expr.alias("v")).orderBy("ticker", "trade_date").collect()
+    df = staging._add_tickers(df, {"v": expr})
+    rows = df.select("ticker", "trade_date", "v").orderBy("ticker", "trade_date").collect()
     return [r.v for r in rows]
 
 
@@ -60,6 +62,15 @@ def test_rolling_like_pandas(panel, make, pandas_form):
     same(column(df, make()), grouped(pdf, pandas_form))
 
 
+@pytest.mark.parametrize("alpha", [0.5, 1 / 6, 1.0])
+@pytest.mark.parametrize("adjust", [True, False])
+def test_exponential_means_over_long_gaps(bars_of, alpha, adjust):
+    """200 missing rows outlast the rows that the fold looks back."""
+    df, pdf = bars_of({"x": {1: [10, 4, *[None] * 200, 7, None, 3], 2: [None] * 3 + [5, *[None] * 200, 1]}})
+    make = ts.ewm if adjust else ts.ewm_recursive
+    same(column(df, make("x", alpha)), grouped(pdf, lambda s: s.astype(float).ewm(alpha=alpha, adjust=adjust).mean()))
+
+
 def test_two_sided_windows(panel):
     df, pdf = panel
     want = []

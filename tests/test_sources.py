@@ -14,22 +14,22 @@ HEADER = ",".join(choice_files.CHOICE_COLUMNS)
 
 
 def test_choice_csv_keeps_leading_zeros(spark, tmp_path):
-    (tmp_path / "a.csv").write_text(f"{HEADER}\n1,甲,000912,汽车,零部件,2021-12-29,2021-12-31,22.36,22.06,-1.34%\n")
-    (tmp_path / "b.csv").write_text(f"{HEADER}\n2,乙,300931,机械,专用,2021-12-28,2021-12-31,9.76,10.34,5.94%\n")
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n1,甲,000042,造纸,纸浆,2023-03-06,2023-03-10,10.00,9.50,-5.00%\n")
+    (tmp_path / "b.csv").write_text(f"{HEADER}\n2,乙,600077,航运,港口,2023-03-07,2023-03-10,8.00,8.40,5.00%\n")
     rows = choice_files.read_choices(spark, str(tmp_path)).orderBy("seq").collect()
-    assert [r.ticker for r in rows] == ["000912", "300931"]
-    assert rows[0].buy_date == datetime.date(2021, 12, 29) and rows[1].sale_price == 10.34
+    assert [r.ticker for r in rows] == ["000042", "600077"]
+    assert rows[0].buy_date == datetime.date(2023, 3, 6) and rows[1].sale_price == 8.4
 
 
 def test_log_cleaning(spark):
-    lines = ["1 凯龙 (300912) 汽车 -- 零部件2021-12-29 2021-12-31 22.36 22.06 -1.34%",
-             "12 某某 (000912)汽车 -- 零部件 2021-12-29 2021-12-31 9.76 10.34 5.94%",
-             "3 a (1) b -- c 2021-12-29 2021-12-30 2021-12-31 1.00 2.00 3.00 4.00 5.00%"]
+    lines = ["1 甲甲 (600077) 航运 -- 港口2023-03-06 2023-03-10 10.00 9.50 -5.00%",
+             "12 乙乙 (000042)航运 -- 港口 2023-03-06 2023-03-10 8.00 8.40 5.00%",
+             "3 a (1) b -- c 2023-03-06 2023-03-07 2023-03-10 1.00 2.00 3.00 4.00 5.00%"]
     df = choice_files.clean_log(spark.createDataFrame([(x,) for x in lines], "value string"))
     cleaned = [r.line for r in df.collect()]
-    assert cleaned[0] == "1,凯龙,300912,汽车,零部件,2021-12-29,2021-12-31,22.36,22.06,-1.34%"
+    assert cleaned[0] == "1,甲甲,600077,航运,港口,2023-03-06,2023-03-10,10.00,9.50,-5.00%"
     parsed = choice_files.parse_log(df).collect()
-    assert [r.ticker for r in parsed] == ["300912", "000912"] and parsed[1].change == "5.94%"
+    assert [r.ticker for r in parsed] == ["600077", "000042"] and parsed[1].change == "5.00%"
     assert df.where("too_long").count() == 1
 
 
@@ -59,14 +59,26 @@ def test_metric_store_recomputes_only_on_reset(spark, bars_of, tmp_path):
     assert store.metric_key(other) != store.metric_key(metric)
 
 
+def test_metric_store_tells_functions_frames_and_panels_apart(spark, bars_of, tmp_path):
+    df, _ = bars_of({"close_price": {1: [1, 2]}, "pe": {1: [4, 4]}, "pb": {1: [5, 5]}})
+
+    def values(metric, panel="p"):
+        return [r.a for r in store.stored_metric(df, metric, str(tmp_path), panel=panel).collect()]
+
+    assert values(SelectMetric("a", m.ep)) == [0.25, 0.25] and values(SelectMetric("a", m.bp)) == [0.2, 0.2]
+    with pytest.raises(ValueError):
+        store.metric_key(SelectMetric("a", m.ep, df))
+    assert store.metric_key(SelectMetric("a", m.ep), "p") != store.metric_key(SelectMetric("a", m.ep), "q")
+
+
 def test_manifest_and_enriched_sinks(spark, tmp_path):
-    df = spark.createDataFrame([("000912", "凯龙", 1.5)], "ticker string, name string, v double")
+    df = spark.createDataFrame([("000042", "甲", 1.5)], "ticker string, name string, v double")
     store.write_manifest(df, str(tmp_path / "positions"))
     assert spark.read.parquet(str(tmp_path / "positions.parquet")).collect() == df.collect()
     choice_files.write_enriched(df, str(tmp_path / "gbk"), "GBK")
     # a partition without rows leaves a file with the header only
     texts = [part.read_bytes().decode("gbk") for part in (tmp_path / "gbk").glob("*.csv")]
-    assert {line for text in texts for line in text.splitlines()} == {"ticker,name,v", "000912,凯龙,1.5"}
+    assert {line for text in texts for line in text.splitlines()} == {"ticker,name,v", "000042,甲,1.5"}
 
 
 def test_empty_sources_are_errors(spark, tmp_path):
