@@ -88,13 +88,6 @@ PAIRS = {
         " + count(*) over (partition by trade_date, V) - 1)::double", 0)),
     "x05_rank_max_pct": (_day(lambda b: xs.rank_max_pct(b.V) * 100), lambda b: b.book.column(
         "100 * cume_dist() over (partition by trade_date order by V)", 0)),
-    "e01_scalars": (
-        lambda b: (scalar.sign(b.C - b.O) + F.abs(b.C - b.O) + scalar.ln(b.C - b.O) + scalar.log10(b.V)
-                   + scalar.power(b.C - b.O, 0.5) + scalar.smaller(b.C, b.O) + scalar.larger(b.H, b.V)
-                   + scalar.pick(scalar.less(b.O, b.C), b.V, -b.V)),
-        lambda b: (sql.sign(b.C - b.O) + sql.absolute(b.C - b.O) + sql.log(b.C - b.O)
-                   + sql.fn("log10({0})", b.V) + sql.power(b.C - b.O, 0.5) + sql.small(b.C, b.O)
-                   + sql.big(b.H, b.V) + sql.where(b.C > b.O, b.V, -b.V))),
 }
 
 
@@ -108,9 +101,28 @@ def _frame(change, spark, sf_dir):
     return tidy(change(df).select("ticker", "trade_date", "value"))
 
 
+#: One column for each scalar, so that a missing value hides no other.
+SCALARS = {
+    "sign": (lambda b: scalar.sign(b.C - b.O), lambda b: sql.sign(b.C - b.O)),
+    "abs": (lambda b: F.abs(b.C - b.O), lambda b: sql.absolute(b.C - b.O)),
+    "ln": (lambda b: scalar.ln(b.C - b.O), lambda b: sql.log(b.C - b.O)),
+    "log10": (lambda b: scalar.log10(b.V), lambda b: sql.fn("log10({0})", b.V)),
+    "root": (lambda b: scalar.power(b.C - b.O, 0.5), lambda b: sql.power(b.C - b.O, 0.5)),
+    "smaller": (lambda b: scalar.smaller(b.C, b.O), lambda b: sql.small(b.C, b.O)),
+    "larger": (lambda b: scalar.larger(b.H, b.V), lambda b: sql.big(b.H, b.V)),
+    "pick": (lambda b: scalar.pick(scalar.less(b.O, b.C), b.V, -b.V), lambda b: sql.where(b.C > b.O, b.V, -b.V)),
+}
+
+
+def _scalars(spark, sf_dir):
+    return tidy(attach(factor_panel(spark, sf_dir), {n: f for n, (f, _) in SCALARS.items()}))
+
+
 QUERIES = {name: partial(_factor, factor) for name, (factor, _) in PAIRS.items()}
 ORACLES = {name: factor_sql({"value": formula}) for name, (_, formula) in PAIRS.items()}
 
+QUERIES["e01_scalars"] = _scalars
+ORACLES["e01_scalars"] = factor_sql({n: formula for n, (_, formula) in SCALARS.items()})
 QUERIES |= {
     "x06_winsorize": partial(_frame, lambda df: xs.winsorize(df, "x", "value")),
     "x07_zscore": partial(_frame, lambda df: df.withColumn("value", xs.zscore("turnover_rate"))),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import factors, files, metrics, portfolio, primitives, relational
+from . import factors, files, metrics, portfolio, primitives, relational, universe
 
-MODULES = (relational, files, primitives, metrics, portfolio, factors)
+MODULES = (relational, files, primitives, metrics, portfolio, factors, universe)
 
 
 def queries():

@@ -120,13 +120,13 @@ def trade_calendar(spark, sf_dir=None) -> DataFrame:
     )
 
 
-def ps_pit(spark, sf_dir) -> DataFrame:
+def ps_pit(spark, sf_dir, tickers: int | None = TICKERS) -> DataFrame:
     """Quarterly per-share figures, published on the fifth Monday after the quarter, revised two weeks later."""
     quarter_end = F.date_sub(F.add_months(F.trunc(F.to_date("l_shipdate"), "quarter"), 3), 1)
     t = F.col("ticker")
     base = (
         table(spark, sf_dir, "lineitem")
-        .groupBy((F.col("l_partkey") % TICKERS).alias("ticker"), quarter_end.alias("end_date"))
+        .groupBy((F.col("l_partkey") % tickers if tickers else F.col("l_partkey")).alias("ticker"), quarter_end.alias("end_date"))
         .agg(F.sum("l_extendedprice").alias("val"))
         .withColumn("q", F.year("end_date") * 4 + F.quarter("end_date"))
         .withColumn("basic_eps", F.col("val") / (t * 10000 + 1000000))
@@ -175,7 +175,7 @@ def choice(spark, sf_dir) -> DataFrame:
     return picked.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy", "wk")
 
 
-def factor_panel(spark, sf_dir) -> DataFrame:
+def factor_panel(spark, sf_dir, tickers: int | None = TICKERS) -> DataFrame:
     """Traded bars with the index open and close of their date.
 
     The index is one row per trade date. It is averaged over the panel's own day groups, which needs no join;
@@ -183,6 +183,6 @@ def factor_panel(spark, sf_dir) -> DataFrame:
     """
     from ..functions.xs import day
 
-    return (traded(spark, sf_dir)
+    return (traded(spark, sf_dir, tickers)
             .withColumn("bench_open", F.avg("open_price").over(day()))
             .withColumn("bench_close", F.avg("close_price").over(day())))
