@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
-KEPT = 400_000
+KEPT = 700_000
+
+
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all lists, one after the other, and how many each has."""
+    count = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(count.sum())), count
 
 
 class ChunkTable:
@@ -15,7 +22,7 @@ class ChunkTable:
     The bound limits memory only: a chunk that is not kept is encoded again, with the same ids.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], kept: int = KEPT):
+    def __init__(self, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kept: int = KEPT):
         self.encode_many, self.kept = encode_many, kept
         self._clear()
 
@@ -30,12 +37,10 @@ class ChunkTable:
             self._clear()
             new = list(set(chunks))
         if new:
-            found = self.encode_many(new)
-            count = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for f in found for i in f), np.int32, int(count.sum()))
+            found, count = self.encode_many(new)
             self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(count) - count])
             self.count = np.concatenate([self.count, count])
-            self.ids = np.concatenate([self.ids, flat])
+            self.ids = np.concatenate([self.ids, found])
             self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
         where = np.fromiter(map(self.slots.__getitem__, chunks), np.int64, len(chunks))
         count = self.count[where]

@@ -24,14 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import ChunkTable
+from .chunks import ChunkTable, flat
 from .common import text_groups, whole_text
 
 WINDOW = 4096
 END_ID = 2
 SENTENCE_CUT = 24  # penalties in padding tokens
 INNER_CUT = 96
-STRIDE = 256  # distance of inner cuts where neither a document nor a sentence ends
+STRIDES = 16  # inner cuts to a window where neither a document nor a sentence ends
 STREAM = 1 << 20  # tokens planned at once
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -57,19 +57,25 @@ class Words:
         self.ends[[e for e in ends if e is not None]] = True
 
     def _library(self, texts):
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
     def _chunks(self, chunks):
         """A plain word and the punctuation behind it are looked up apart, in lower case: the tokenizer splits there."""
-        parts, pairs = [], []
+        parts, pairs, match = [], [], WORD.fullmatch
         for chunk in chunks:
-            m = WORD.fullmatch(chunk)
-            pair = [x for x in (m[1].lower(), m[2]) if x] if m else [chunk]
-            pairs.append(len(pair))
-            parts += pair
+            m = match(chunk)
+            if m is None:
+                parts.append(chunk)
+                pairs.append(1)
+            elif m[2]:
+                parts += (m[1].lower(), m[2])
+                pairs.append(2)
+            else:
+                parts.append(m[1].lower())
+                pairs.append(1)
         ids, count = self.parts.gather(parts)
         ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum([0, *pairs])]
-        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+        return ids, np.diff(ends)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has."""
@@ -92,7 +98,8 @@ def cut_points(doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int = WI
     total = int(doc_ends[-1]) if len(doc_ends) else 0
     soft = np.union1d(np.concatenate([[0], doc_ends]), sentence_ends)
     gap = np.diff(soft)
-    inner = [np.arange(a + STRIDE, a + g, STRIDE) for a, g in zip(soft[:-1][gap > window // 4], gap[gap > window // 4])]
+    stride = max(1, window // STRIDES)
+    inner = [np.arange(a + stride, a + g, stride) for a, g in zip(soft[:-1][gap > window // 4], gap[gap > window // 4])]
     cuts = np.union1d(soft, np.concatenate(inner)) if inner else soft
     penalty = np.full(len(cuts), SENTENCE_CUT, np.int64)
     if inner:
@@ -105,19 +112,26 @@ def cut_points(doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int = WI
 def plan(cuts: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> list[int]:
     """Numbers of the chosen cuts, from the first to the last, at least cost; among equals the longer last window."""
     places, fines = cuts.tolist(), penalty.tolist()
-    number = {p: i for i, p in enumerate(places)}
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
+    # the power-of-two predecessors that are cuts, longest first: (j, i) by j
+    later, earlier = [], []
+    for power in (1 << k for k in range(window.bit_length() - 1, -1, -1)):
+        at = np.searchsorted(cuts, cuts - power)
+        j = np.flatnonzero(cuts[at] == cuts - power)
+        later.append(j)
+        earlier.append(at[j])
+    later, earlier = np.concatenate(later), np.concatenate(earlier)
+    order = np.argsort(later, kind="stable")
+    steps, first = earlier[order].tolist(), np.searchsorted(later[order], np.arange(len(places) + 1)).tolist()
     best, back = [0] * len(places), [0] * len(places)
     queue = deque([(0, 0)])  # (best[i] + place, i), rising
     for j in range(1, len(places)):
         at = places[j]
         while places[queue[0][1]] < at - window:
             queue.popleft()
-        least, i = queue[0]
-        cost = least + window - at
-        for power in powers:
-            k = number.get(at - power)
-            if k is not None and best[k] <= cost:
+        cost, i = queue[0]
+        cost += window - at
+        for k in steps[first[j]:first[j + 1]]:
+            if best[k] < cost or best[k] == cost and k < i:
                 cost, i = best[k], k
         best[j], back[j] = cost + fines[j], i
         key = best[j] + at
