@@ -34,13 +34,20 @@ def period_returns(holdings: DataFrame, prices: DataFrame) -> DataFrame:
             .withColumn("end_px", end).withColumn("ret", div(end, "px") - 1))
 
 
-def portfolio_returns(held: DataFrame, sale_fee_rate: float) -> DataFrame:
-    """Equal-weighted return per period, less the fee on what is not held in the next period."""
+def portfolio_returns(held: DataFrame, sale_fee_rate: float, weight: str | None = None) -> DataFrame:
+    """Weighted return per period (equal weights without ``weight``), less the fee on what is sold at its end.
+
+    What the next period does not hold is sold; what the strategy's last period holds is still open and pays nothing.
+    """
     w = Window.partitionBy("strategy", "ticker").orderBy("period")
     kept = F.coalesce(F.lead("period").over(w) == F.col("period") + 1, F.lit(False))
-    fee = F.when(kept, 0.0).otherwise(sale_fee_rate) * (1 + F.col("ret"))
-    return (held.withColumn("net", F.col("ret") - fee).groupBy("strategy", "period")
-            .agg(F.avg("net").alias("ret"), F.min("trade_date").alias("trade_date"),
+    still_open = F.col("period") == F.max("period").over(Window.partitionBy("strategy"))
+    share = F.lit(1.0) if weight is None else F.col(weight)
+    return (held.withColumn("_sold", ~(kept | still_open))
+            .withColumn("net", F.col("ret") - F.when(F.col("_sold"), sale_fee_rate).otherwise(0.0) * (1 + F.col("ret")))
+            .groupBy("strategy", "period")
+            .agg((F.sum(F.col("net") * share) / F.sum(F.when(F.col("net").isNotNull(), share))).alias("ret"),
+                 F.min("trade_date").alias("trade_date"),
                  F.max("end_date").alias("end_date"), F.count(F.lit(1)).alias("positions")))
 
 

@@ -64,6 +64,14 @@ def buy_count(balance: float, ideal: float, minimum: float) -> int:
     return n + 1 if balance - n * ideal >= minimum else n
 
 
+def affordable(ranked: DataFrame, balance: str, ideal: float, minimum: float, order=None) -> DataFrame:
+    """First rows per date by rank, as many as the date's ``balance`` buys (see ``buy_count``)."""
+    full = F.floor(F.col(balance) / ideal)
+    n = full + F.when(F.col(balance) - full * ideal >= minimum, 1).otherwise(0)
+    w = Window.partitionBy("trade_date").orderBy(*(order or ["rank", "ticker"]))
+    return ranked.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
+
+
 def top_n(ranked: DataFrame, n: int, order=None) -> DataFrame:
     """First n rows per date by rank; Spark prunes to n per group before and after the exchange."""
     w = Window.partitionBy("trade_date").orderBy(*(order or ["rank", "ticker"]))

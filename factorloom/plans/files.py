@@ -83,6 +83,23 @@ def _(spark, sf):
     return spark.read.parquet(f"{path}.parquet").select("ticker", "trade_date", "sale_date", "buy_price")
 
 
+@add("s11_manifest_csv", f"select ticker, trade_date, sale_date, {out('buy_price')} as buy_price from choice", CHOICE)
+def _(spark, sf):
+    """The manifest's CSV half read back."""
+    path = scratch.folder(spark, "positions")
+    store.write_manifest(d.choice(spark, sf).select("ticker", "trade_date", "sale_date", "buy_price"), path)
+    return readers.csv_checked(spark, f"{path}.csv", "ticker long, trade_date date, sale_date date, buy_price double")
+
+
+@add("s14_row_count", "select count(*) as rows from choice", CHOICE)
+def _(spark, sf):
+    """A file that was loaded, and how many rows it has; one without rows is an error."""
+    path = scratch.folder(spark, "loaded")
+    choice_files.write_enriched(d.choice(spark, sf), path)
+    loaded = readers.csv_checked(spark, path, "ticker long, trade_date date, sale_date date, buy_price double")
+    return loaded.agg(F.count(F.lit(1)).alias("rows"))
+
+
 @add("s12_enriched_csv", f"select c.ticker, c.trade_date, {out('t.close_price')} as close_price, p.n as"
      " select_equ_count from (select distinct * from choice) c left join traded t using (ticker, trade_date)"
      " left join (select trade_date, count(*) as n from traded group by 1) p using (trade_date)", CHOICE)

@@ -163,7 +163,8 @@ held0 as (select p.period, p.ticker, p.trade_date, p.end_date, p.hfq_close_price
       and a.trade_date > p.trade_date and a.trade_date <= p.end_date order by a.trade_date desc limit 1),
       p.hfq_close_price) as end_px from picks p),
 held as (select *, end_px / px - 1 as ret,
-    coalesce(lead(period) over (partition by ticker order by period) = period + 1, false) as kept from held0),
+    coalesce(lead(period) over (partition by ticker order by period) = period + 1, false)
+      or period = (select max(period) from held0) as kept from held0),
 pret as (select period, trade_date, end_date, count(*) as positions,
     avg(ret - case when kept then 0 else {FEE}::double * (1 + ret) end) as ret from held group by all),
 nav as (select *, product(1 + ret) over (order by period) as net from pret),
@@ -182,6 +183,28 @@ def _(spark, sf):
                                                                      "ret")
 
 
+@add("b09_weighted_returns", "select period, trade_date, end_date, positions, " + out("ret") + " as ret from ("
+     "select period, trade_date, end_date, count(*) as positions, sum((1 + ticker % 3) * (ret - case when kept then 0 else"
+     f" {FEE}::double * (1 + ret) end)) / sum(1 + ticker % 3) as ret from held group by all)", HELD)
+def _(spark, sf):
+    held = _held(spark, sf).withColumn("weight", F.expr("1D + ticker % 3"))
+    return portfolio.portfolio_returns(held, FEE, "weight").select("period", "trade_date", "end_date", "positions", "ret")
+
+
+@add("b06_affordable", f"""select trade_date, period, ticker, {out('balance')} as balance from (
+    select *, row_number() over (partition by trade_date order by rnk, ticker) as n, 20000.0::double + 3500 * (period % 9) as balance
+    from ranked where rnk is not null and chg_pct > -0.5)
+  where n <= floor(balance / 10000) + case when balance - floor(balance / 10000) * 10000 >= 6000 then 1 else 0 end""",
+     REBALANCE + SIGNALS + """,
+dated as (select s.*, r.period, r.end_date from sig s join reb r on r.dt = s.trade_date)""" + ranked_ctes("dated"))
+def _(spark, sf):
+    """What a balance that differs by rebalance date buys of the candidates left after exclusions."""
+    signals = m.bias(filters.drop_suspended(portfolio.last_traded_price(m.back_adjust(d.bars(spark, sf)))), "bias6", 6)
+    dated = signals.join(_rebalance(spark), "trade_date").withColumn("balance", F.expr("20000D + 3500 * (period % 9)"))
+    candidates = ranking.rank(dated, FACTORS).where("rank is not null and chg_pct > -0.5")
+    return ranking.affordable(candidates, "balance", 10000, 6000).select("trade_date", "period", "ticker", "balance")
+
+
 def _nav(spark, sf):
     return portfolio.net_value(portfolio.portfolio_returns(_held(spark, sf), FEE))
 

@@ -100,6 +100,15 @@ def _(spark, sf):
     return choice_files.parse_log(choice_files.clean_log(_log_lines(spark, sf)))
 
 
+@add("s08_too_long", "select ticker::int as seq, count(*) as lines from choice where ticker % 5 = 0 group by ticker", CHOICE)
+def _(spark, sf):
+    """Lines with two fields too many, as the report lists them."""
+    twice = F.when(F.col("value").rlike("^[0-9]*[05]股票"), F.concat("value", F.lit(" 1.00 2.00 3.00"))).otherwise(F.col("value"))
+    cleaned = choice_files.clean_log(_log_lines(spark, sf).select(twice.alias("value")))
+    seq = F.regexp_extract("line", "^([0-9]+),", 1).cast("int")
+    return choice_files.too_long(cleaned).groupBy(seq.alias("seq")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 @add("s10_long_metrics", " union all ".join(
     f"select ticker, trade_date, '{n}' as metric, {out(c)} as value from traded"
     for n, c in (("ma5", f"avg(close_price) {w(5)}"), ("ep", "1 / nullif(pe, 0)"))))

@@ -59,6 +59,11 @@ def clean_log(lines: DataFrame, column="value") -> DataFrame:
     return lines.select(cleaned.alias("line"), cleaned.rlike("(.*,){10}").alias("too_long"))
 
 
+def too_long(cleaned: DataFrame) -> DataFrame:
+    """The lines that ``parse_log`` leaves out, for a report."""
+    return cleaned.where("too_long").select("line")
+
+
 def parse_log(cleaned: DataFrame) -> DataFrame:
     parts = F.split("line", ",")
     return cleaned.where("not too_long").select(
