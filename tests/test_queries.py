@@ -15,7 +15,7 @@ SAMPLE = ["s01_bar_scan", "s08_log_cleaning", "p08_trade_flags", "j07_fundamenta
           "a05_ticker_list", "t02_trade_date_by_offset", "m06_ps_pit", "m15_wq_alpha16", "m18_ntra_bias",
           "m22_float_rate", "w04_corr", "w15_ewm", "x08_neutralize", "b01_rank", "b04_daily_choice",
           "b11_drawdown", "b17_closed_trades", "b19_small_cap_monthly", "f001", "f029", "f077", "f096", "g021", "g075",
-          "g138", "g159", "g174", "e01_scalars", "p09_one_day", "o05_difference", "universe_x01_rank_pct", "universe_as_of",
+          "g138", "g159", "g174", "e01_scalars", "p09_one_day", "universe_x01_rank_pct", "universe_as_of",
           "universe_neutralize"]
 
 
