@@ -249,20 +249,25 @@ ORACLES["j01_metric_attach"] = (
 
 
 def _user_function(spark, sf_dir):
-    def widest(pdf):
+    """A state that each row changes, which no window expresses: the peak, begun anew after a fall of a tenth."""
+    def trailing_peak(pdf):
         pdf = pdf.sort_values("trade_date")
-        pdf["value"] = (pdf["highest_price"] - pdf["lowest_price"]).rolling(5).max()
-        return pdf[["ticker", "trade_date", "value"]]
+        peaks, peak = [], None
+        for price in pdf["close_price"]:
+            peak = price if peak is None or price < 0.9 * peak else max(peak, price)
+            peaks.append(peak)
+        return pdf.assign(value=peaks)[["ticker", "trade_date", "value"]]
 
-    panel = d.traded(spark, sf_dir).select("ticker", "trade_date", "highest_price", "lowest_price")
-    return tidy(m.per_group(panel, "ticker", widest, "ticker long, trade_date date, value double"))
+    panel = d.traded(spark, sf_dir).select("ticker", "trade_date", "close_price")
+    return tidy(m.per_group(panel, "ticker", trailing_peak, "ticker long, trade_date date, value double"))
 
 
 QUERIES["u02_per_group"] = _user_function
 ORACLES["u02_per_group"] = (
-    f"with {TRADED}\nselect ticker, trade_date, "
-    + out(f"case when count(*) {w(5)} >= 5 then max(highest_price - lowest_price) {w(5)} end")
-    + " as value from traded")
+    f"with {TRADED}, h as (select ticker, trade_date, list(close_price) over (partition by ticker order by trade_date"
+    " rows unbounded preceding) as c from traded)\nselect ticker, trade_date, "
+    + out("list_reduce(c, lambda peak, price: case when price < 0.9::double * peak then price else greatest(peak, price) end)")
+    + " as value from h")
 
 
 def _rolling_user(spark, sf_dir):

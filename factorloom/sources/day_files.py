@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +26,10 @@ def _decode(batches):
             name = path.rsplit("/", 1)[-1].split(".")[0]
             rows = np.frombuffer(content, layout, count=len(content) // RECORD)
             day = rows["day"].astype("int64")
-            text = [f"{d // 10000:04d}-{d // 100 % 100:02d}-{d % 100:02d}" for d in day]
+            months = (day // 10000 - 1970) * 12 + day // 100 % 100 - 1
+            dates = months.astype("datetime64[M]").astype("datetime64[D]") + (day % 100 - 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name.lstrip("shz")] * len(rows), pa.string()),
-                 pa.array(np.array(text, dtype="datetime64[D]"), pa.date32())]
+                [pa.array([re.sub("^(sh|sz)", "", name)] * len(rows), pa.string()), pa.array(dates, pa.date32())]
                 + [pa.array(rows[c] / 100.0, pa.float64()) for c in ("open", "high", "low", "close")]
                 + [pa.array(rows["amount"].astype("float64") / 10, pa.float64()),
                    pa.array(rows["vol"].astype("int64"), pa.int64())],
