@@ -34,7 +34,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, and no lost executor takes it along."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -46,7 +46,7 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def text_groups(column, most: int = 4_000_000):
+def text_groups(column, most: int = 1_500_000):
     """The texts of an Arrow column as lists of about ``most`` characters at most, or of one longer text."""
     group, size = [], 0
     for text in column:
@@ -60,5 +60,12 @@ def text_groups(column, most: int = 4_000_000):
         yield group
 
 
+def hash_sample(df: DataFrame, rank, rows: int, size: int) -> DataFrame:
+    """The ``size`` rows of least ``rank`` (a 64-bit hash) of the ``rows`` in ``df``. All but about twice as many are left
+    out by a bound where they are read, so that no task gathers more, however many partitions there are."""
+    bound = int(-2 ** 63 + 2 ** 64 * min(1.0, (2 * size + 64) / max(1, rows))) - 1
+    return df.where(rank <= F.lit(str(min(bound, 2 ** 63 - 1))).cast("long")).orderBy(rank).limit(size)
+
+
 def parts_for(rows: int, rows_each: int) -> int:
     return max(1, math.ceil(rows / rows_each))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, whole_text
+from .common import free_name, hash_sample, whole_text
 
 SAMPLE = 4096  # documents that the scorer is fitted on: those of the least hashes of id and text
 SAMPLE_CHARS = 20_000  # up to so long; longer documents are judged, but not fitted on
@@ -182,8 +182,8 @@ def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                                 "x": [features(t).astype(np.float16).tobytes() for t in frame["text"]]})
 
     rank = F.xxhash64("doc_id", "text")
-    chosen = (docs.select("doc_id", text.alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-              .orderBy(rank, "doc_id", "text").limit(SAMPLE).mapInPandas(sample, "votes array<int>, x binary")).toPandas()
+    short = docs.select("doc_id", text.alias("text")).where(F.length("text") <= SAMPLE_CHARS)
+    chosen = (hash_sample(short, rank, sum(r["count"] for r in patterns), SAMPLE).mapInPandas(sample, "votes array<int>, x binary")).toPandas()
     if not len(chosen):
         return share, table, np.zeros(BUCKETS + 2)
     x = np.stack([np.frombuffer(b, np.float16) for b in chosen["x"]]).astype(np.float32)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, stored, whole_text
+from .common import free_name, hash_sample, stored, whole_text
 from .components import components, forest
 
 SHINGLE = 4
@@ -166,7 +166,7 @@ def links(points: DataFrame, radius: int = DISTANCE) -> DataFrame:
     ``radius`` apart."""
     n = points.count()
     shards = min(SAMPLE // 8, max(SHARDS, math.ceil(n / SHARD_ROWS)))
-    sample = points.orderBy(F.xxhash64(F.lit(7), "fp"), "fp").limit(SAMPLE).toPandas()["fp"].to_numpy(np.int64)
+    sample = hash_sample(points, F.xxhash64(F.lit(7), "fp"), n, SAMPLE).toPandas()["fp"].to_numpy(np.int64)
     nodes = layout(sample, shards)
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import hash_sample, stored
 from .components import components, forest
 
 THRESHOLD = 0.93
@@ -123,7 +123,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     points = stored(base.where("ok").groupBy("label", "embedding").agg(
         F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "points")
     n = points.count()
-    sample = points.orderBy(F.xxhash64(F.lit(7), "node"), "node").limit(SAMPLE).select("embedding").toPandas()["embedding"]
+    sample = hash_sample(points, F.xxhash64(F.lit(7), "node"), n, SAMPLE).select("embedding").toPandas()["embedding"]
     width = int(sample.map(len).mode()[0]) if len(sample) else 0
     sample = [v for v in sample if len(v) == width]
     centroids = spherical_kmeans(unit(sample), max(CELLS, math.ceil(n / CELL_ROWS))) if sample else np.zeros((0, 0))
