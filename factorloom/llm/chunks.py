@@ -28,7 +28,7 @@ class ChunkTable:
 
     def _clear(self):
         self.slots: dict[str, int] = {}
-        self.ids, self.at, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.at, self.count = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def gather(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all chunks, one after the other, and how many ids each chunk has."""
@@ -38,11 +38,12 @@ class ChunkTable:
             new = list(set(chunks))
         if new:
             found, count = self.encode_many(new)
-            self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(count) - count])
-            self.count = np.concatenate([self.count, count])
+            self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(count, dtype=np.int32) - count.astype(np.int32)])
+            self.count = np.concatenate([self.count, count.astype(np.int32)])
             self.ids = np.concatenate([self.ids, found])
             self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
-        where = np.fromiter(map(self.slots.__getitem__, chunks), np.int64, len(chunks))
+        where = np.fromiter(map(self.slots.__getitem__, chunks), np.int32, len(chunks))
         count = self.count[where]
-        first = np.repeat(self.at[where] - (np.cumsum(count) - count), count)
-        return self.ids[first + np.arange(len(first))], count
+        first = np.repeat(self.at[where] - (np.cumsum(count, dtype=np.int32) - count), count)
+        first += np.arange(len(first), dtype=np.int32)
+        return self.ids[first], count.astype(np.int64)

@@ -50,8 +50,8 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
-        self.parts = ChunkTable(self._library)
-        self.chunks = ChunkTable(self._chunks)
+        self.parts = ChunkTable(self._library, 600_000)
+        self.chunks = ChunkTable(self._chunks, 350_000)
         ends = [self.tokenizer.token_to_id(f"{end}</w>") for end in (".", "!", "?", "!!", "...", "。")]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[e for e in ends if e is not None]] = True
@@ -155,6 +155,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     little-endian unsigned 32-bit numbers, null without ``with_ids``. ``tokenizer_path`` must exist on every executor.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this process have left
         w = words(tokenizer_path)
         sequence = TaskContext.get().partitionId() << 40
         # the stream's documents: (id, number of ids, ids that earlier plans placed), and their unplaced ids
