@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
@@ -17,25 +17,29 @@ def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class ChunkTable:
-    """Encodes each distinct chunk once while it is kept; beyond ``kept`` chunks the table starts anew.
+    """Encodes each distinct chunk once while it is kept. Beyond ``kept`` chunks the later half goes: what came first is
+    what comes often.
 
     The bound limits memory only: a chunk that is not kept is encoded again, with the same ids.
     """
 
     def __init__(self, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kept: int = KEPT):
         self.encode_many, self.kept = encode_many, kept
-        self._clear()
-
-    def _clear(self):
         self.slots: dict[str, int] = {}
         self.ids, self.at, self.count = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
+    def _shrink(self, n: int):
+        if n < len(self.slots):
+            self.slots = dict(islice(self.slots.items(), n))
+            self.ids = self.ids[:self.at[n]].copy()
+            self.at, self.count = self.at[:n].copy(), self.count[:n].copy()
+
     def gather(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all chunks, one after the other, and how many ids each chunk has."""
         new = list(set(chunks).difference(self.slots))
         if new and len(self.slots) + len(new) > self.kept:
-            self._clear()
-            new = list(set(chunks))
+            self._shrink(self.kept // 2)
+            new = list(set(chunks).difference(self.slots))
         if new:
             found, count = self.encode_many(new)
             self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(count, dtype=np.int32) - count.astype(np.int32)])

@@ -33,6 +33,7 @@ SENTENCE_CUT = 24  # penalties in padding tokens
 INNER_CUT = 96
 STRIDES = 16  # inner cuts to a window where neither a document nor a sentence ends
 STREAM = 1 << 20  # tokens planned at once
+KEPT = (350_000, 600_000)  # chunks and words whose ids a task keeps: memory for time, ids do not depend on it
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_length long, ids binary")
@@ -45,13 +46,12 @@ WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!%*&$#|]*)")
 class Words:
     """Ids of texts under a word-level tokenizer whose words end at white space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: tuple[int, int] = KEPT):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
-        self.parts = ChunkTable(self._library, 600_000)
-        self.chunks = ChunkTable(self._chunks, 350_000)
+        self.chunks, self.parts = ChunkTable(self._chunks, kept[0]), ChunkTable(self._library, kept[1])
         ends = [self.tokenizer.token_to_id(f"{end}</w>") for end in (".", "!", "?", "!!", "...", "。")]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[e for e in ends if e is not None]] = True
@@ -86,8 +86,8 @@ class Words:
 
 
 @lru_cache(maxsize=4)
-def words(path: str) -> Words:
-    return Words(path)
+def words(path: str, kept: tuple[int, int] = KEPT) -> Words:
+    return Words(path, kept)
 
 
 def cut_points(doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -145,18 +145,20 @@ def plan(cuts: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> list[in
     return chosen[::-1]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = True,
+         kept: tuple[int, int] = KEPT) -> DataFrame:
     """One row per piece of a document: its ids, where they start in the document, its sequence and place there.
 
     Every document's ids (a null text counts as empty) get ``end_id`` at the end, so every row has at least one piece;
     repeated rows and null ids are documents of their own. Other columns are ignored, whatever their names. Sequences
     follow the order of rows, hold at most ``window`` ids and belong to one task: a stream of ``STREAM`` ids is planned
     at once, and what follows its last full windows goes into the next plan. ``ids`` holds the piece's ids as
-    little-endian unsigned 32-bit numbers, null without ``with_ids``. ``tokenizer_path`` must exist on every executor.
+    little-endian unsigned 32-bit numbers, null without ``with_ids``. ``kept`` trades a task's memory for time
+    (about 150 bytes an entry). ``tokenizer_path`` must exist on every executor.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.default_memory_pool().release_unused()  # what earlier tasks of this process have left
-        w = words(tokenizer_path)
+        w = words(tokenizer_path, kept)
         sequence = TaskContext.get().partitionId() << 40
         # the stream's documents: (id, number of ids, ids that earlier plans placed), and their unplaced ids
         names: list[tuple[int | None, int, int]] = []
