@@ -1,9 +1,9 @@
 """Brown class-based bigram model: exchange clustering of words, class transitions, word emissions.
 
 The texts become blocks of token numbers with a vocabulary of their own, so that only each block's distinct words, not its
-tokens, meet the corpus counts. The clustering is the exchange algorithm run on all words at once: a round counts, for
+tokens, meet the corpus counts. The clustering is the exchange algorithm with words dealt out to tasks: a round counts, for
 each word, the classes before and after it, reduces these counts by word, and moves each word of one half of the
-vocabulary to the class with the highest likelihood of the class bigrams. Blocks lie in a table bucketed by block: a round
+vocabulary in turn to the class with the highest likelihood of the class bigrams. Blocks lie in a table bucketed by block: a round
 shuffles the words' classes and counts, never the tokens. What reaches the driver is classes times classes.
 
 Words seen fewer than ``MIN_COUNT`` times are not exchanged, as their contexts say little: they have a class for each
@@ -30,19 +30,29 @@ MIN_COUNT = 16
 BANDS = MIN_COUNT.bit_length() - 1  # classes of rarer words
 ALL = 1 + CLASSES + BANDS  # the end of a text is class 0
 ROUNDS = 4
-BLOCK_TOKENS = 8_000_000
+BLOCK_TOKENS = 6_000_000
+STEP = 500_000  # tokens of a block that are counted at once
 BLOCK_WORDS = 600_000
 BUCKET_WORDS = 4096  # words whose counts one task reduces
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double")
 
 
+def _planes(ids: np.ndarray) -> bytes:
+    """Token numbers with their lowest bytes first, then the next ones: the upper bytes are mostly alike and compress."""
+    return ids.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents (their tokens as numbers of the block's words) and, after them, of the block's words with how
     often its training documents hold them. Word 0 is the end of a text, written as an empty word."""
     names = ["block", "doc_id", "held_out", "ids", "base", "words", "counts"]
     types = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64())]
-    block = TaskContext.get().partitionId() << 20
+    block = TaskContext.get().partitionId() << 12
     numbers, seen, tokens = None, None, 0
 
     def begin():
@@ -69,7 +79,7 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = np.append(ids, np.int32(0))
             if not held.as_py():
                 seen.append(ids)
-            out.append((block, doc_id.as_py(), held.as_py(), ids.tobytes()))
+            out.append((block, doc_id.as_py(), held.as_py(), _planes(ids)))
             size += len(ids)
             tokens += len(ids)
             if size > 1_000_000:
@@ -90,51 +100,77 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _flat(docs: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """All token numbers of a block, and where each document starts."""
-    sizes = docs["ids"].map(len).to_numpy() // 4
-    ids = np.frombuffer(b"".join(docs["ids"]), np.int32)
-    return ids, np.cumsum(sizes) - sizes
+    ids = [_numbers(raw) for raw in docs["ids"]]
+    sizes = np.array([len(i) for i in ids], np.int64)
+    return np.concatenate(ids) if ids else np.zeros(0, np.int32), np.cumsum(sizes) - sizes
 
 
 def _enrich(total: int, distinct: int, band_tokens: list[int], unknown: float):
     def run(key, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        """Documents with what depends on counts alone; token numbers stay for the words that are exchanged, the others
-        become minus one minus their band."""
+        """Documents with what depends on counts alone, and one row without an id for the block's exchanged words.
+
+        Token numbers become 0 for the end of a text, 1 to BANDS for the bands of words that are not exchanged, and a
+        word's number plus BANDS for the others.
+        """
         count = np.zeros(int(words["lid"].max()) + 1, np.int64)
         count[words["lid"].to_numpy()] = words["c"].to_numpy()
-        band = np.floor(np.log2(np.maximum(count, 1))).astype(np.int64)
+        band = np.minimum(np.floor(np.log2(np.maximum(count, 1))).astype(np.int64), BANDS - 1)
         common = count >= MIN_COUNT
         common[0] = True
-        number = np.where(common, np.arange(len(count)), -1 - band).astype(np.int32)
+        number = np.where(common, np.arange(len(count)) + BANDS, 1 + band).astype(np.int32)
+        number[0] = 0
         base = np.log10((count + 1) / (total + 1 * (distinct + 1)))
-        size = np.maximum(np.array(band_tokens, float), 1)[np.minimum(band, BANDS - 1)]
+        size = np.maximum(np.array(band_tokens, float), 1)[band]
         rare = np.log10(np.where(count == 0, unknown, np.maximum(count, 1) / size * np.where(count == 1, 1 - unknown, 1.0)))
         rare[common] = 0
         ids, start = _flat(docs)
         stop = np.append(start[1:], len(ids))
         new = number[ids]
-        return pd.DataFrame({
+        exchanged = words[words["h"] != 0].sort_values("lid")
+        rows = pd.DataFrame({
             "block": docs["block"], "doc_id": docs["doc_id"].astype("Int64"), "held_out": docs["held_out"], "n_tokens": stop - start,
             "n_known": np.add.reduceat(count[ids] > 0, start, dtype=np.int64),
             "base_score": np.add.reduceat(base[ids], start), "rare_score": np.add.reduceat(rare[ids], start),
-            "ids": [new[a:b].tobytes() for a, b in zip(start, stop)]})
+            "ids": [_planes(new[a:b]) for a, b in zip(start, stop)], "lids": None, "hashes": None, "counts": None})
+        own = pd.DataFrame([{
+            "block": key[0], "doc_id": None, "held_out": False, "n_tokens": 0, "n_known": 0, "base_score": 0.0, "rare_score": 0.0,
+            "ids": b"", "lids": exchanged["lid"].to_numpy().astype("<i4").tobytes(),
+            "hashes": exchanged["h"].to_numpy().astype("<i8").tobytes(), "counts": exchanged["c"].to_numpy().astype("<i8").tobytes()}])
+        return pd.concat([rows, own.astype({"doc_id": "Int64"})])
 
     return run
 
 
-def _classes(ids: np.ndarray, lids: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The class of each token, and the position of its word in ``lids`` (any where it is not exchanged)."""
-    at = np.zeros(int(lids.max()) + 1 if len(lids) else 1, np.int64)
-    at[lids] = np.arange(len(lids))
-    at = at[np.maximum(ids, 0)]
-    own = of[at] if len(lids) else np.zeros(len(ids), np.int64)
-    return np.where(ids > 0, own, np.where(ids == 0, 0, CLASSES - ids)), at
+def _words(docs: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, hashes and counts of a block's exchanged words, by number."""
+    row = docs[docs["lids"].notna()].iloc[0]
+    return np.frombuffer(row["lids"], "<i4"), np.frombuffer(row["hashes"], "<i8"), np.frombuffer(row["counts"], "<i8")
+
+
+def _table(words: pd.DataFrame) -> np.ndarray:
+    """The class of each word number; ``words`` has number and class as one number."""
+    both = words["word"].to_numpy()
+    table = np.zeros(int(both.max() >> 8) + 1 if len(both) else 1, np.uint8)
+    table[both >> 8] = both & 255
+    return table
+
+
+def _classes(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class of each token."""
+    now = np.empty(len(ids), np.uint8)
+    for at in range(0, len(ids), STEP):
+        some = ids[at:at + STEP]
+        now[at:at + STEP] = np.where(some > BANDS, table[np.maximum(some - BANDS, 0)], np.where(some == 0, 0, CLASSES + some))
+    return now
 
 
 def _transitions(key, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
     ids, _ = _flat(docs)
-    now, _ = _classes(ids, words["lid"].to_numpy(), words["class"].to_numpy())
-    before = np.concatenate([[0], now[:-1]])  # a text ends with class 0, so the next begins after it
-    found = np.bincount(before * ALL + now, minlength=ALL * ALL)
+    now = _classes(ids, _table(words))
+    before = np.concatenate([np.zeros(1, np.uint8), now[:-1]])  # a text ends with class 0, so the next begins after it
+    found = np.zeros(ALL * ALL, np.int64)
+    for at in range(0, len(ids), STEP):
+        found += np.bincount(before[at:at + STEP].astype(np.int64) * ALL + now[at:at + STEP], minlength=ALL * ALL)
     some = np.flatnonzero(found)
     return pd.DataFrame({"pair": some, "n": found[some]})
 
@@ -143,21 +179,33 @@ def _contexts(turn: int, buckets: int):
     def run(key, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         """For the words whose turn it is, the classes before (0 to ALL - 1) and after (from ALL) them, as sparse rows
         packed by bucket."""
-        words = words.assign(bucket=(words["h"].to_numpy() >> 1) % buckets).sort_values(["bucket", "h"], ignore_index=True)
-        lids, h = words["lid"].to_numpy(), words["h"].to_numpy()
         ids, _ = _flat(docs)
-        now, at = _classes(ids, lids, words["class"].to_numpy())
-        before, after = np.concatenate([[0], now[:-1]]), np.append(now[1:], 0)
-        mine = (h & 1) == turn
-        row = np.cumsum(mine) - 1
-        some = np.flatnonzero((ids > 0) & mine[at] if len(lids) else np.zeros(len(ids), bool))
-        row_at = row[at[some]]
-        counts = (np.bincount(row_at * 2 * ALL + before[some], minlength=int(mine.sum()) * 2 * ALL)
-                  + np.bincount(row_at * 2 * ALL + ALL + after[some], minlength=int(mine.sum()) * 2 * ALL))
+        table = _table(words)
+        now = _classes(ids, table)
+        lids, h, _ = _words(docs)
+        lids, h = lids[(h & 1) == turn], h[(h & 1) == turn]
+        bucket = (h >> 1) % buckets
+        order = np.lexsort((h, bucket))
+        lids, h, bucket = lids[order], h[order], bucket[order]
+        if not len(h) or not len(ids):
+            return pd.DataFrame()
+        own = table[lids]
+        row_of = np.full(max(int(ids.max()) - BANDS, int(lids.max())) + 1, -1, np.int64)
+        row_of[lids] = np.arange(len(lids))
+        counts = np.zeros(len(h) * 2 * ALL, np.int32)
+        last = len(ids) - 1
+        for at in range(0, len(ids), STEP):
+            some = ids[at:at + STEP]
+            row = np.where(some > BANDS, row_of[np.maximum(some - BANDS, 0)], -1)
+            here = np.flatnonzero(row >= 0)
+            row, here = row[here] * (2 * ALL), here + at
+            # a word is never the last token of a text; the first token has the end of a text before it
+            before = np.where(here > 0, now[here - 1], 0)
+            cell, n = np.unique(np.concatenate([row + before, row + ALL + now[np.minimum(here + 1, last)]]), return_counts=True)
+            counts[cell] += n.astype(np.int32)
         cell = np.flatnonzero(counts)
-        width = np.bincount(cell // (2 * ALL), minlength=int(mine.sum())).astype(np.uint8)
+        width = np.bincount(cell // (2 * ALL), minlength=len(h)).astype(np.uint8)
         k, n = (cell % (2 * ALL)).astype(np.uint8), counts[cell].astype("<u4")
-        h, own, bucket = h[mine], words["class"].to_numpy()[mine].astype(np.uint8), words["bucket"].to_numpy()[mine]
         ends = np.cumsum(width, dtype=np.int64)
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
         out = []
@@ -170,31 +218,37 @@ def _contexts(turn: int, buckets: int):
 
 
 def best_classes(own: np.ndarray, word: np.ndarray, k: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """The class, 1 to CLASSES, of highest likelihood for each word; its own among equals.
+    """The classes, 1 to CLASSES, after one exchange of each word in turn, the most frequent first; a word stays where it
+    is among equals.
 
-    ``word``, ``k``, ``n``: counts of the class before (k below ALL) or after (k - ALL) a word; ``pairs``: class bigrams.
-    A word leaves its class before the classes are compared.
+    ``word`` (sorted), ``k``, ``n``: counts of the class before (k below ALL) or after (k - ALL) a word; ``pairs``: class
+    bigrams. Each move changes this task's copy of the bigrams, so that words do not all run after the same class.
     """
     def g(x):
-        return x * np.log(np.maximum(x, 1))
-
-    candidates = np.arange(1, CLASSES + 1)
-    size = pairs.sum(0).astype(float)
-    before = k < ALL
-    other = np.where(before, k, k - ALL)
-    gain = np.zeros((len(own), CLASSES))
-    for at in range(0, len(word), 100_000):
-        s = slice(at, at + 100_000)
-        there = np.where(before[s, None], pairs[other[s]][:, candidates], pairs[candidates][:, other[s]].T).astype(float)
-        there -= n[s, None] * (own[word[s], None] == candidates)
-        there = np.maximum(there, 0)
-        np.add.at(gain, word[s], g(there + n[s, None]) - g(there))
-    total = np.bincount(word[before], n[before], minlength=len(own))[:, None]
-    rest = np.maximum(size[candidates] - total * (own[:, None] == candidates), 0)
-    gain -= 2 * (g(rest + total) - g(rest))
-    new = gain.argmax(1)
-    keep = gain[np.arange(len(own)), own - 1] >= gain.max(1) - 1e-9
-    return np.where(keep, own, new + 1)
+        return x * np.log(np.maximum(x, 1.0))
+
+    own, pairs = own.copy(), pairs.astype(float)
+    size = pairs.sum(0)
+    ends = np.searchsorted(word, np.arange(len(own) + 1))
+    each = slice(1, CLASSES + 1)
+    for w in np.argsort(-np.bincount(word, n, minlength=len(own)), kind="stable").tolist():
+        at, count = k[ends[w]:ends[w + 1]], n[ends[w]:ends[w + 1]]
+        first = np.searchsorted(at, ALL)
+        before, x, after, y = at[:first], count[:first], at[first:] - ALL, count[first:]
+        total, a = x.sum(), own[w]
+        pairs[before, a] -= x
+        pairs[a, after] -= y
+        size[a] -= total
+        left, right, rest = np.maximum(pairs[before, each], 0), np.maximum(pairs[each, after], 0), np.maximum(size[each], 0)
+        gain = ((g(left + x[:, None]) - g(left)).sum(0) + (g(right + y) - g(right)).sum(1) - 2 * (g(rest + total) - g(rest)))
+        b = int(gain.argmax()) + 1
+        if gain[a - 1] >= gain[b - 1] - 1e-9:
+            b = a
+        pairs[before, b] += x
+        pairs[b, after] += y
+        size[b] += total
+        own[w] = b
+    return own
 
 
 def _exchange(pairs: np.ndarray):
@@ -217,14 +271,16 @@ def _scores(pairs: np.ndarray, total: int):
     steps = np.log10((pairs + ALL * prior) / (pairs.sum(1, keepdims=True) + ALL))
 
     def run(key, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        lids, of = words["lid"].to_numpy(), words["class"].to_numpy()
+        table = _table(words)
+        lids, _, count = _words(docs)
+        docs = docs[docs["lids"].isna()]
         ids, start = _flat(docs)
-        now, at = _classes(ids, lids, of)
-        before = np.concatenate([[0], now[:-1]])
+        now = _classes(ids, table)
+        before = np.concatenate([np.zeros(1, np.uint8), now[:-1]])
+        emit = np.zeros(max(int(ids.max()) - BANDS, int(lids.max()) if len(lids) else 0, 0) + 1)
+        emit[lids] = np.log10(count / np.maximum(size[table[lids]], 1))
         score = steps[before, now]
-        if len(lids):
-            emit = np.log10(words["c"].to_numpy() / np.maximum(size[of], 1))
-            score = score + np.where(ids > 0, emit[at], 0.0)
+        score += np.where(ids > BANDS, emit[np.maximum(ids - BANDS, 0)], 0.0)
         return pd.DataFrame({
             "doc_id": docs["doc_id"].astype("Int64"), "held_out": docs["held_out"], "n_tokens": docs["n_tokens"],
             "n_known": docs["n_known"], "train_tokens": total, "base_score": docs["base_score"],
@@ -235,7 +291,7 @@ def _scores(pairs: np.ndarray, total: int):
 
 def _pairs(blocks, words) -> np.ndarray:
     """Class bigrams of the training texts; classes times classes numbers reach the driver."""
-    found = (blocks.where("not held_out").groupBy("block").cogroup(words.groupBy("block"))
+    found = (blocks.where("not held_out").select("block", "ids").groupBy("block").cogroup(words.groupBy("block"))
              .applyInPandas(_some(_transitions), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect())
     pairs = np.zeros(ALL * ALL, np.int64)
     for r in found:
@@ -259,11 +315,13 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                      "counts array<long>"), "tokens")
     listed = (raw.where("words is not null")
               .select("block", "base", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "w"))
-              .select("block", (F.col("base") + F.col("pos")).alias("lid"), F.col("w.words").alias("word"), F.col("w.counts").alias("n")))
-    # a word has one row for each block that holds it
+              .select((F.shiftleft("block", 24) + F.col("base") + F.col("pos")).alias("place"), F.col("w.words").alias("word"),
+                      F.col("w.counts").alias("n")))
+    # a word has one row for each block that holds it; a block has less than 2 ** 24 words
     same = Window.partitionBy("word")
-    words = stored(listed.withColumn("c", F.sum("n").over(same)).withColumn("nth", F.row_number().over(same.orderBy("block"))).select(
-        "block", "lid", "c", (F.col("nth") == 1).alias("first"),
+    words = stored(listed.withColumn("c", F.sum("n").over(same)).withColumn("nth", F.row_number().over(same.orderBy("place"))).select(
+        F.shiftright("place", 24).alias("block"), F.col("place").bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("lid"), "c",
+        (F.col("nth") == 1).alias("first"),
         F.when((F.col("c") >= MIN_COUNT) & (F.col("word") != ""), F.xxhash64("word")).alias("h")), "words")
     once = words.where("first")
     c = F.col("c")
@@ -278,14 +336,22 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     buckets = parts_for(raw.select("block").distinct().count(), 1)
     name = f"class_lm_{uuid.uuid4().hex}"
     (raw.where("ids is not null").select("block", "doc_id", "held_out", "ids").groupBy("block")
-     .cogroup(words.select("block", "lid", "c").groupBy("block"))
+     .cogroup(words.select("block", "lid", "c", F.coalesce("h", F.lit(0)).alias("h")).groupBy("block"))
      .applyInPandas(_enrich(total, sums["distinct"], [sums[f"band{b}"] for b in range(BANDS)], unknown),
                     "block long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
-                    "rare_score double, ids binary")
-     .write.format("parquet").bucketBy(min(buckets, 4096), "block")
+                    "rare_score double, ids binary, lids binary, hashes binary, counts binary")
+     .write.format("parquet").option("compression", "zstd").bucketBy(min(buckets, 4096), "block")
      .option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name))
     blocks = spark.table(name)
-    common = words.where("h is not null").select("block", "lid", "c", "h")
+    # bucketed by word: the rounds bring classes to it, and shuffle only block, number and class
+    (words.where("h is not null").select("block", "lid", "h").repartition(min(buckets, 4096), "h")
+     .write.format("parquet").option("compression", "zstd").bucketBy(min(buckets, 4096), "h")
+     .option("path", f"{shared_folder(spark)}/{name}_words").saveAsTable(f"{name}_words"))
+    common = spark.table(f"{name}_words")
+
+    def classed(classes: DataFrame) -> DataFrame:
+        return common.join(classes, "h").select("block", (F.shiftleft(F.col("lid").cast("long"), 8) + F.col("class")).alias("word"))
+
     # the most frequent words start a class each, the others are spread
     top = [r["h"] for r in once.where("h is not null").orderBy(F.desc("c"), "h").limit(CLASSES).select("h").collect()]
     spread = F.pmod(F.xxhash64(F.lit(3), "h"), F.lit(CLASSES)) + 1
@@ -294,15 +360,16 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     classes = stored(once.where("h is not null").select("h", spread.cast("long").alias("class")).dropDuplicates(["h"]), "classes")
     groups = parts_for(sums["common"], BUCKET_WORDS)
     for turn in range(rounds):
-        own = common.join(classes, "h").select("block", "lid", "h", "class")
+        own = classed(classes)
         pairs = _pairs(blocks, own)
-        moved = (blocks.where("not held_out").select("block", "ids").groupBy("block").cogroup(own.groupBy("block"))
+        moved = (blocks.where("not held_out").select("block", "ids", "lids", "hashes", "counts").groupBy("block")
+                 .cogroup(own.groupBy("block"))
                  .applyInPandas(_some(_contexts(turn % 2, groups)),
                                 "bucket long, h binary, own binary, width binary, k binary, n binary")
                  .groupBy("bucket").applyInPandas(_exchange(pairs), "h long, class long"))
         still = classes.where(F.col("h").bitwiseAND(F.lit(1)) != turn % 2)
         classes = stored(still.union(moved), "classes")
-    own = common.join(classes, "h").select("block", "lid", "c", "class")
+    own = classed(classes)
     return (blocks.groupBy("block").cogroup(own.groupBy("block"))
             .applyInPandas(_some(_scores(_pairs(blocks, own), total)), RESULT))
 
