@@ -2,12 +2,13 @@
 
 The texts become blocks of token numbers with a vocabulary of their own, so that only each block's distinct words, not its
 tokens, meet the corpus counts. The clustering is the exchange algorithm with words dealt out to tasks: a round counts, for
-each word, the classes before and after it, reduces these counts by word, and moves each word of one half of the
-vocabulary in turn to the class with the highest likelihood of the class bigrams. Blocks lie in a table bucketed by block: a round
-shuffles the words' classes and counts, never the tokens. What reaches the driver is classes times classes.
+each word, the classes before and after it, reduces these counts by word, and moves each word of one part of the
+vocabulary in turn to the class with the highest likelihood of the class bigrams. Rounds go on until a sweep over all
+parts no longer raises the likelihood. Blocks lie in a table bucketed by block: a round shuffles the words' classes and
+counts, never the tokens. What reaches the driver is classes times classes.
 
-Words seen fewer than ``MIN_COUNT`` times are not exchanged, as their contexts say little: they have a class for each
-doubling of the count. Unknown words belong to the class of words seen once and are one type of it.
+All words seen twice or more are exchanged; their classes grow in number with the cube root of the vocabulary. Words seen
+once stand for the unknown words, and both share a class: its transitions are all that is known of unknown words.
 """
 
 from __future__ import annotations
@@ -25,11 +26,12 @@ from pyspark.sql import functions as F
 
 from .common import parts_for, shared_folder, stored, whole_text
 
-CLASSES = 32
-MIN_COUNT = 16
+CLASSES = 32  # at least; a large vocabulary has more
+MIN_COUNT = 2
 BANDS = MIN_COUNT.bit_length() - 1  # classes of rarer words
-ALL = 1 + CLASSES + BANDS  # the end of a text is class 0
-ROUNDS = 4
+ALL = 1 + CLASSES + BANDS  # at least; the end of a text is class 0
+PARTS = 2  # parts of the vocabulary that move in turn, at first
+TOLERANCE = 1e-3  # a sweep that raises the log likelihood of a token by less is the last
 BLOCK_TOKENS = 6_000_000
 STEP = 500_000  # tokens of a block that are counted at once
 BLOCK_WORDS = 600_000
@@ -150,41 +152,49 @@ def _words(docs: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _table(words: pd.DataFrame) -> np.ndarray:
     """The class of each word number; ``words`` has number and class as one number."""
     both = words["word"].to_numpy()
-    table = np.zeros(int(both.max() >> 8) + 1 if len(both) else 1, np.uint8)
-    table[both >> 8] = both & 255
+    table = np.zeros(int(both.max() >> 16) + 1 if len(both) else 1, np.uint16)
+    table[both >> 16] = both & 65535
     return table
 
 
-def _classes(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
+def _classes(ids: np.ndarray, table: np.ndarray, n_classes: int) -> np.ndarray:
     """The class of each token."""
-    now = np.empty(len(ids), np.uint8)
+    now = np.empty(len(ids), np.uint16)
     for at in range(0, len(ids), STEP):
         some = ids[at:at + STEP]
-        now[at:at + STEP] = np.where(some > BANDS, table[np.maximum(some - BANDS, 0)], np.where(some == 0, 0, CLASSES + some))
+        now[at:at + STEP] = np.where(some > BANDS, table[np.maximum(some - BANDS, 0)], np.where(some == 0, 0, n_classes + some))
     return now
 
 
-def _transitions(key, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-    ids, _ = _flat(docs)
-    now = _classes(ids, _table(words))
-    before = np.concatenate([np.zeros(1, np.uint8), now[:-1]])  # a text ends with class 0, so the next begins after it
-    found = np.zeros(ALL * ALL, np.int64)
-    for at in range(0, len(ids), STEP):
-        found += np.bincount(before[at:at + STEP].astype(np.int64) * ALL + now[at:at + STEP], minlength=ALL * ALL)
-    some = np.flatnonzero(found)
-    return pd.DataFrame({"pair": some, "n": found[some]})
+def _transitions(n_classes: int):
+    all_ = 1 + n_classes + BANDS
+
+    def run(key, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        ids, _ = _flat(docs)
+        now = _classes(ids, _table(words), n_classes)
+        before = np.concatenate([np.zeros(1, np.uint16), now[:-1]])  # a text ends with class 0, so the next begins after it
+        found = np.zeros(all_ * all_, np.int64)
+        for at in range(0, len(ids), STEP):
+            found += np.bincount(before[at:at + STEP].astype(np.int64) * all_ + now[at:at + STEP], minlength=all_ * all_)
+        some = np.flatnonzero(found)
+        return pd.DataFrame({"pair": some, "n": found[some]})
+
+    return run
 
 
-def _contexts(turn: int, buckets: int):
+def _contexts(turn: int, parts: int, buckets: int, n_classes: int):
+    all_ = 1 + n_classes + BANDS
+
     def run(key, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        """For the words whose turn it is, the classes before (0 to ALL - 1) and after (from ALL) them, as sparse rows
+        """For the words whose turn it is, the classes before (0 to all_ - 1) and after (from all_) them, as sparse rows
         packed by bucket."""
         ids, _ = _flat(docs)
         table = _table(words)
-        now = _classes(ids, table)
+        now = _classes(ids, table, n_classes)
         lids, h, _ = _words(docs)
-        lids, h = lids[(h & 1) == turn], h[(h & 1) == turn]
-        bucket = (h >> 1) % buckets
+        mine = (h & (parts - 1)) == turn
+        lids, h = lids[mine], h[mine]
+        bucket = (h >> 16) % buckets
         order = np.lexsort((h, bucket))
         lids, h, bucket = lids[order], h[order], bucket[order]
         if not len(h) or not len(ids):
@@ -192,20 +202,25 @@ def _contexts(turn: int, buckets: int):
         own = table[lids]
         row_of = np.full(max(int(ids.max()) - BANDS, int(lids.max())) + 1, -1, np.int64)
         row_of[lids] = np.arange(len(lids))
-        counts = np.zeros(len(h) * 2 * ALL, np.int32)
+        cells, counts = [], []
         last = len(ids) - 1
         for at in range(0, len(ids), STEP):
             some = ids[at:at + STEP]
             row = np.where(some > BANDS, row_of[np.maximum(some - BANDS, 0)], -1)
             here = np.flatnonzero(row >= 0)
-            row, here = row[here] * (2 * ALL), here + at
+            row, here = row[here] * (2 * all_), here + at
             # a word is never the last token of a text; the first token has the end of a text before it
             before = np.where(here > 0, now[here - 1], 0)
-            cell, n = np.unique(np.concatenate([row + before, row + ALL + now[np.minimum(here + 1, last)]]), return_counts=True)
-            counts[cell] += n.astype(np.int32)
-        cell = np.flatnonzero(counts)
-        width = np.bincount(cell // (2 * ALL), minlength=len(h)).astype(np.uint8)
-        k, n = (cell % (2 * ALL)).astype(np.uint8), counts[cell].astype("<u4")
+            cell, n = np.unique(np.concatenate([row + before, row + all_ + now[np.minimum(here + 1, last)]]), return_counts=True)
+            cells.append(cell)
+            counts.append(n.astype(np.uint32))
+        cells, counts = np.concatenate(cells), np.concatenate(counts)
+        order = np.argsort(cells, kind="stable")
+        cells, counts = cells[order], counts[order]
+        starts = np.flatnonzero(np.diff(cells, prepend=-1))
+        cell, n = cells[starts], (np.add.reduceat(counts, starts) if len(starts) else counts).astype("<u4")
+        width = np.bincount(cell // (2 * all_), minlength=len(h)).astype("<u2")
+        k = (cell % (2 * all_)).astype("<u2")
         ends = np.cumsum(width, dtype=np.int64)
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
         out = []
@@ -218,23 +233,23 @@ def _contexts(turn: int, buckets: int):
 
 
 def best_classes(own: np.ndarray, word: np.ndarray, k: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """The classes, 1 to CLASSES, after one exchange of each word in turn, the most frequent first; a word stays where it
+    """The classes, 1 to the number of them in ``pairs``, after one exchange of each word in turn, the most frequent first; a word stays where it
     is among equals.
 
-    ``word`` (sorted), ``k``, ``n``: counts of the class before (k below ALL) or after (k - ALL) a word; ``pairs``: class
-    bigrams. Each move changes this task's copy of the bigrams, so that words do not all run after the same class.
+    ``word`` (sorted), ``k``, ``n``: counts of the class before (k below the length of ``pairs``) or after (k less this
+    length) a word; ``pairs``: class bigrams. Each move changes this task's copy of the bigrams, so that words do not all run after the same class.
     """
     def g(x):
         return x * np.log(np.maximum(x, 1.0))
 
     own, pairs = own.copy(), pairs.astype(float)
-    size = pairs.sum(0)
+    all_, size = len(pairs), pairs.sum(0)
     ends = np.searchsorted(word, np.arange(len(own) + 1))
-    each = slice(1, CLASSES + 1)
+    each = slice(1, all_ - BANDS)
     for w in np.argsort(-np.bincount(word, n, minlength=len(own)), kind="stable").tolist():
         at, count = k[ends[w]:ends[w + 1]], n[ends[w]:ends[w + 1]]
-        first = np.searchsorted(at, ALL)
-        before, x, after, y = at[:first], count[:first], at[first:] - ALL, count[first:]
+        first = np.searchsorted(at, all_)
+        before, x, after, y = at[:first], count[:first], at[first:] - all_, count[first:]
         total, a = x.sum(), own[w]
         pairs[before, a] -= x
         pairs[a, after] -= y
@@ -252,31 +267,41 @@ def best_classes(own: np.ndarray, word: np.ndarray, k: np.ndarray, n: np.ndarray
 
 
 def _exchange(pairs: np.ndarray):
+    all_ = len(pairs)
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         h, first, word = np.unique(np.frombuffer(b"".join(rows["h"]), np.int64), return_index=True, return_inverse=True)
-        own = np.frombuffer(b"".join(rows["own"]), np.uint8)[first].astype(np.int64)
-        width = np.frombuffer(b"".join(rows["width"]), np.uint8)
-        k = np.frombuffer(b"".join(rows["k"]), np.uint8).astype(np.int64)
+        own = np.frombuffer(b"".join(rows["own"]), "<u2")[first].astype(np.int64)
+        width = np.frombuffer(b"".join(rows["width"]), "<u2")
+        k = np.frombuffer(b"".join(rows["k"]), "<u2").astype(np.int64)
         n = np.frombuffer(b"".join(rows["n"]), "<u4").astype(float)
-        dense = np.bincount(np.repeat(word, width) * 2 * ALL + k, n, minlength=len(h) * 2 * ALL)
+        dense = np.bincount(np.repeat(word, width) * 2 * all_ + k, n, minlength=len(h) * 2 * all_)
         cell = np.flatnonzero(dense)
-        return pd.DataFrame({"h": h, "class": best_classes(own, cell // (2 * ALL), cell % (2 * ALL), dense[cell], pairs)})
+        return pd.DataFrame({"h": h, "class": best_classes(own, cell // (2 * all_), cell % (2 * all_), dense[cell], pairs)})
 
     return run
 
 
+def likelihood(pairs: np.ndarray) -> float:
+    """The part of the training texts' log likelihood that depends on the words' classes."""
+    def g(x):
+        return (x * np.log(np.maximum(x, 1.0))).sum()
+
+    return g(pairs) - g(pairs.sum(0)) - g(pairs.sum(1))
+
+
 def _scores(pairs: np.ndarray, total: int):
-    size = pairs.sum(0)
-    prior = (size + 1) / (size.sum() + ALL)
-    steps = np.log10((pairs + ALL * prior) / (pairs.sum(1, keepdims=True) + ALL))
+    all_, size = len(pairs), pairs.sum(0)
+    prior = (size + 1) / (size.sum() + all_)
+    steps = np.log10((pairs + all_ * prior) / (pairs.sum(1, keepdims=True) + all_))
 
     def run(key, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         table = _table(words)
         lids, _, count = _words(docs)
         docs = docs[docs["lids"].isna()]
         ids, start = _flat(docs)
-        now = _classes(ids, table)
-        before = np.concatenate([np.zeros(1, np.uint8), now[:-1]])
+        now = _classes(ids, table, all_ - 1 - BANDS)
+        before = np.concatenate([np.zeros(1, np.uint16), now[:-1]])
         emit = np.zeros(max(int(ids.max()) - BANDS, int(lids.max()) if len(lids) else 0, 0) + 1)
         emit[lids] = np.log10(count / np.maximum(size[table[lids]], 1))
         score = steps[before, now]
@@ -289,17 +314,18 @@ def _scores(pairs: np.ndarray, total: int):
     return run
 
 
-def _pairs(blocks, words) -> np.ndarray:
+def _pairs(blocks, words, n_classes: int) -> np.ndarray:
     """Class bigrams of the training texts; classes times classes numbers reach the driver."""
+    all_ = 1 + n_classes + BANDS
     found = (blocks.where("not held_out").select("block", "ids").groupBy("block").cogroup(words.groupBy("block"))
-             .applyInPandas(_some(_transitions), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect())
-    pairs = np.zeros(ALL * ALL, np.int64)
-    for r in found:
-        pairs[r["pair"]] = r["n"]
-    return pairs.reshape(ALL, ALL)
+             .applyInPandas(_some(_transitions(n_classes)), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+             .toPandas())
+    pairs = np.zeros(all_ * all_, np.int64)
+    pairs[found["pair"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return pairs.reshape(all_, all_)
 
 
-def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def score(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Texts in which crc32 of the doc_id as text leaves 2 modulo 7 are held out, all others trained on (a null id as well).
@@ -350,28 +376,40 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     common = spark.table(f"{name}_words")
 
     def classed(classes: DataFrame) -> DataFrame:
-        return common.join(classes, "h").select("block", (F.shiftleft(F.col("lid").cast("long"), 8) + F.col("class")).alias("word"))
+        return common.join(classes, "h").select("block", (F.shiftleft(F.col("lid").cast("long"), 16) + F.col("class")).alias("word"))
 
     # the most frequent words start a class each, the others are spread
-    top = [r["h"] for r in once.where("h is not null").orderBy(F.desc("c"), "h").limit(CLASSES).select("h").collect()]
-    spread = F.pmod(F.xxhash64(F.lit(3), "h"), F.lit(CLASSES)) + 1
-    for i, h in enumerate(top):
-        spread = F.when(F.col("h") == h, F.lit(i + 1)).otherwise(spread)
-    classes = stored(once.where("h is not null").select("h", spread.cast("long").alias("class")).dropDuplicates(["h"]), "classes")
-    groups = parts_for(sums["common"], BUCKET_WORDS)
-    for turn in range(rounds):
-        own = classed(classes)
-        pairs = _pairs(blocks, own)
-        moved = (blocks.where("not held_out").select("block", "ids", "lids", "hashes", "counts").groupBy("block")
-                 .cogroup(own.groupBy("block"))
-                 .applyInPandas(_some(_contexts(turn % 2, groups)),
-                                "bucket long, h binary, own binary, width binary, k binary, n binary")
-                 .groupBy("bucket").applyInPandas(_exchange(pairs), "h long, class long"))
-        still = classes.where(F.col("h").bitwiseAND(F.lit(1)) != turn % 2)
-        classes = stored(still.union(moved), "classes")
+    n_classes = max(CLASSES, round(sums["common"] ** (1 / 3)))
+    top = [r["h"] for r in once.where("h is not null").orderBy(F.desc("c"), "h").limit(n_classes).select("h").collect()]
+    first = spark.createDataFrame([(h, i + 1) for i, h in enumerate(top)], "h long, start long")
+    spread = F.pmod(F.xxhash64(F.lit(3), "h"), F.lit(n_classes)) + 1
+    classes = once.where("h is not null").select("h").dropDuplicates(["h"]).join(F.broadcast(first), "h", "left")
+    classes = stored(classes.select("h", F.coalesce("start", spread).cast("long").alias("class")), "classes")
     own = classed(classes)
+    pairs = _pairs(blocks, own, n_classes)
+    parts, busy = PARTS, sums["common"] > 0
+    while busy:
+        start, undone = likelihood(pairs), False
+        groups = parts_for(sums["common"], BUCKET_WORDS * parts)
+        for turn in range(parts):
+            moved = (blocks.where("not held_out").select("block", "ids", "lids", "hashes", "counts").groupBy("block")
+                     .cogroup(own.groupBy("block"))
+                     .applyInPandas(_some(_contexts(turn, parts, groups, n_classes)),
+                                    "bucket long, h binary, own binary, width binary, k binary, n binary")
+                     .groupBy("bucket").applyInPandas(_exchange(pairs), "h long, class long"))
+            still = classes.where(F.col("h").bitwiseAND(F.lit(parts - 1)) != turn)
+            new = stored(still.union(moved), "classes")
+            found = _pairs(blocks, classed(new), n_classes)
+            # tasks do not see each other's moves: a round that lowers the likelihood is undone
+            if likelihood(found) >= likelihood(pairs):
+                classes, own, pairs = new, classed(new), found
+            else:
+                undone = True
+        if likelihood(pairs) - start <= TOLERANCE * total:
+            # fewer words at once, down to rounds of one task
+            busy, parts = undone and groups > 1, parts * 2
     return (blocks.groupBy("block").cogroup(own.groupBy("block"))
-            .applyInPandas(_some(_scores(_pairs(blocks, own), total)), RESULT))
+            .applyInPandas(_some(_scores(pairs, total)), RESULT))
 
 
 def _some(function):

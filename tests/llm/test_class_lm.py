@@ -68,3 +68,14 @@ def test_edges(edge, nothing):
     assert got[got.doc_id == 4].n_tokens.tolist() == [1]
     assert lm.score(nothing).count() == 0
     assert lm.score(edge.where("doc_id = 4")).count() == 1
+
+
+def test_words_seen_a_few_times_have_classes(spark):
+    rng = np.random.default_rng(4)
+    # two languages of 600 words, each word seen about 11 times
+    texts = [" ".join(f"w{lang}x{i}" for i in rng.integers(600, size=100)) for lang in (0, 1) for _ in range(80)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = lm.score(docs).toPandas()
+    out = got[got.held_out]
+    # log10(2) a token at most: a language has half of the words
+    assert ((out.score - out.base_score) / out.n_tokens).mean() > 0.1
