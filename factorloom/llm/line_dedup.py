@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, whole_text
+from .common import free_name, stored, whole_text
 
 WINDOW = 3
 
@@ -19,10 +19,11 @@ def _lines():
     return F.split(whole_text(), "\n", -1)
 
 
-def windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+def windows(docs: DataFrame, size: int = WINDOW, row: str | None = None) -> DataFrame:
     """doc_id, ``body`` (the text's hash), ``pos`` (from 0) and the hashes h1, h2 of every window that is not blank.
 
-    ``place`` orders windows by doc_id (null first), then line: one number, so that its minimum aggregates by hash.
+    ``place`` orders windows by doc_id (null first), then line: one number, so that its minimum aggregates by hash. With
+    ``row``, a column of distinct numbers, the text's hash and this number break its ties, and the number is kept.
     """
     def hashes(lines):
         def window(_, i):
@@ -33,20 +34,23 @@ def windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         return F.transform(F.slice(lines, 1, F.greatest(F.size(lines) - size + 1, F.lit(0))), window)
 
     first = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit("-9223372036854775809").cast("decimal(20,0)"))
-    return (docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("body"), _lines().alias("lines"))
-            .select("doc_id", "body", F.posexplode(hashes(F.col("lines"))).alias("pos", "h"))
+    own = ["doc_id", "body"] if row is None else ["doc_id", "body", row]
+    place = first * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
+    return (docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("body"), _lines().alias("lines"), *own[2:])
+            .select(*own, F.posexplode(hashes(F.col("lines"))).alias("pos", "h"))
             .where("h is not null")
-            .select("doc_id", "body", "pos", "h.h1", "h.h2",
-                    (first * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")).alias("place")))
+            .select(*own, "pos", "h.h1", "h.h2",
+                    (place if row is None else F.struct(place.alias("at"), "body", row)).alias("place")))
 
 
-def covered(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, body and the sorted ``places`` at which later occurrences start, for the documents that have any."""
-    all_ = windows(docs, size)
+def covered(docs: DataFrame, size: int = WINDOW, row: str | None = None) -> DataFrame:
+    """doc_id, body (and ``row``) and the sorted ``places`` at which later occurrences start, for the documents that have
+    any."""
+    all_ = windows(docs, size, row)
     repeated = (all_.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
                 .where("n > 1").drop("n"))
     later = all_.join(repeated, ["h1", "h2"]).where("place > first")
-    return later.groupBy("doc_id", "body").agg(F.array_sort(F.collect_set("pos")).alias("places"))
+    return later.groupBy("doc_id", "body", *([] if row is None else [row])).agg(F.array_sort(F.collect_set("pos")).alias("places"))
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -55,15 +59,26 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
     A line ends at a line feed; a text of fewer than ``size`` lines has no window and stays. Blank windows do not count.
     All rows stay, if with an empty text; ``n_chars`` is counted anew where lines went. A null text stays null. Rows of
-    the same id compete by line number; rows of the same id and text get the same result. An empty table gives an empty
-    result.
+    the same id compete by line number, then by the hash of their text; of rows of the same id and text one comes first. An
+    empty table gives an empty result.
     """
+    row, columns = None, docs.columns
+    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        # ids do not tell rows apart: number them, once for both reads
+        row = free_name(docs, "row_")
+        docs = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     names = [free_name(docs, n) for n in ("n_lines", "n_removed", "places_", "body_", "id_", "lines_", "kept_")]
     n_lines, n_removed, places, body, id_, lines, kept = names
-    found = covered(docs.select("doc_id", "text"), size).select(
-        F.col("doc_id").alias(id_), F.col("body").alias(body), F.col("places").alias(places))
+    if row is None:
+        found = covered(docs.select("doc_id", "text"), size).select(
+            F.col("doc_id").alias(id_), F.col("body").alias(body), F.col("places").alias(places))
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(lines) == F.col(body))
+    else:
+        found = covered(docs.select("doc_id", "text", row), size, row).select(
+            F.col(row).alias(id_), F.col("places").alias(places))
+        same = F.col(row) == F.col(id_)
     own = docs.withColumn(lines, F.xxhash64("text"))
-    joined = own.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(lines) == F.col(body)), "left")
+    joined = own.join(found, same, "left")
     # what stays lies between the end of one covered window and the start of the next
     starts = F.concat(F.array(F.lit(0)), F.transform(places, lambda p: p + size))
     stops = F.concat(F.col(places), F.array(F.size(lines)))
@@ -76,7 +91,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     if "n_chars" in docs.columns:
         count = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col(kept).isNotNull(), count).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns, n_lines, n_removed)
+    return out.select(*columns, n_lines, n_removed)
 
 
 #: The same in DuckDB.

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, hash_sample, stored, whole_text
@@ -54,14 +54,14 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and ``fp`` (long) of every row; a null text counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *more) -> DataFrame:
+    """doc_id and ``fp`` (long) of every row, and ``more`` columns; a null text counts as empty."""
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", of(whole_text()).alias("fp"))
+    return docs.select("doc_id", of(whole_text()).alias("fp"), *more)
 
 
 def _distance(a, b):
@@ -201,6 +201,18 @@ def links(points: DataFrame, radius: int = DISTANCE) -> DataFrame:
     return rows.groupBy("shard", "i", "j").applyInPandas(_spanning(radius), "a long, b long")
 
 
+def _groups(docs: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id and fp of every row; for each fp its group's ``root`` and ``first``, the least row of this fp: its id (null
+    last) and its text's hash."""
+    of = fingerprints(docs.select("doc_id", "text"), shingle, F.xxhash64(whole_text()).alias("body"))
+    fps = stored(of, "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body"))
+    points = stored(fps.groupBy("fp").agg(first.alias("first")), "points")
+    found = components(links(points, radius))
+    return fps, points.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = DISTANCE) -> DataFrame:
     """One row per row of ``docs``: doc_id, ``fp`` and ``component_id``, the least doc_id reachable by links.
 
@@ -208,24 +220,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = DISTA
     component. Null ids belong to their fingerprint's component and are its id only where no row of it has another. Other
     columns are ignored, whatever their names. An empty table gives an empty result.
     """
-    fps = stored(fingerprints(docs, shingle), "fingerprints")
-    points = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
-    found = components(links(points, radius))
-    roots = points.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    fps, roots = _groups(docs, shingle, radius)
+    ids = roots.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
     named = roots.join(ids, "root").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's, with all columns; of rows that share this id, one whose
-    text is least.
+    """One row of ``docs`` for each component, with all columns: that of its least doc_id; of rows that share this id, one
+    whose text has the least hash.
 
     A row with a null id is kept only where its component has no other id.
     """
-    chosen = near_duplicates(docs, shingle, radius).where("doc_id <=> component_id").select("doc_id").distinct()
-    id_, rank = free_name(docs, "kept_id_"), free_name(docs, "kept_rank_")
-    kept = docs.join(chosen.withColumnRenamed("doc_id", id_), F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return kept.withColumn(rank, first).where(F.col(rank) == 1).drop(rank)
+    id_, body, all_ = free_name(docs, "kept_id_"), free_name(docs, "kept_body_"), free_name(docs, "kept_row_")
+    _, roots = _groups(docs, shingle, radius)
+    chosen = roots.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias(id_), F.col("first.body").alias(body))
+    # a text's hash stands for its component, so id and hash name the chosen row and its exact copies
+    own = F.xxhash64(whole_text())
+    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col(id_)) & (own == F.col(body)), "left_semi")
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns))
+    return (kept.groupBy(F.col("doc_id").alias(id_), own.alias(body)).agg(one.alias(all_))
+            .select(*[F.col(all_)[c].alias(c) for c in docs.columns]))

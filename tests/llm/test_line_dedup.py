@@ -47,3 +47,12 @@ def test_edges(edge, nothing):
     assert got[got.doc_id == 1].text.tolist() == [""] and got[got.doc_id == 2].text.tolist() == ["", ""]
     assert got[got.doc_id == 10].n_removed_.tolist() == [0]  # blank windows do not count
     assert line_dedup.remove_repeats(nothing).count() == 0
+
+
+def test_copies_under_one_id_go(spark):
+    text = "a\nb\nc\nd"
+    for id_ in (None, 7):
+        rows = [(id_, text), (id_, text), (id_, text + "\ne"), (9, "x\n" + text)]
+        got = line_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+        assert len(got) == 4 and sum(t.count("a") for t in got.text) == 1
+        assert got[got.doc_id == 9].text.tolist() == ["x"]

@@ -102,3 +102,10 @@ def test_edges(edge, nothing):
     ids = [r.doc_id for r in kept.collect()]
     assert len(ids) == len(set(ids)) and {1, 3, 6, 7} <= set(ids) and not {2, 4, 5, None} & set(ids)
     assert s.near_duplicates(nothing).count() == s.keep_first(nothing).count() == 0
+
+
+def test_one_row_of_each_group_whatever_the_ids(spark):
+    a, b, c, d = ("".join(f"{x}{i} " for i in range(30)) for x in "abcd")
+    rows = [(None, a), (None, a), (None, b), (1, c), (1, d), (2, d), (None, c), (3, None)]
+    got = s.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(None, a), (None, b), (1, c), (1, d), (3, None)]))
