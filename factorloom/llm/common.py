@@ -60,11 +60,16 @@ def text_groups(column, most: int = 1_500_000):
         yield group
 
 
+def hash_bound(rank, rows: int, size: int):
+    """Whether a row may be among the ``size`` of least ``rank`` (a 64-bit hash) of ``rows``: true of about twice as many."""
+    bound = int(-2 ** 63 + 2 ** 64 * min(1.0, (2 * size + 64) / max(1, rows))) - 1
+    return rank <= F.lit(str(min(bound, 2 ** 63 - 1))).cast("long")
+
+
 def hash_sample(df: DataFrame, rank, rows: int, size: int) -> DataFrame:
     """The ``size`` rows of least ``rank`` (a 64-bit hash) of the ``rows`` in ``df``. All but about twice as many are left
     out by a bound where they are read, so that no task gathers more, however many partitions there are."""
-    bound = int(-2 ** 63 + 2 ** 64 * min(1.0, (2 * size + 64) / max(1, rows))) - 1
-    return df.where(rank <= F.lit(str(min(bound, 2 ** 63 - 1))).cast("long")).orderBy(rank).limit(size)
+    return df.where(hash_bound(rank, rows, size)).orderBy(rank).limit(size)
 
 
 def parts_for(rows: int, rows_each: int) -> int:

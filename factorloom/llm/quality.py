@@ -18,10 +18,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, hash_sample, whole_text
+from .common import free_name, hash_bound, whole_text
 
 SAMPLE = 4096  # documents that the scorer is fitted on: those of the least hashes of id and text
-SAMPLE_CHARS = 20_000  # up to so long; longer documents are judged, but not fitted on
+STRETCH = 5000  # words; the variety of a longer text is the mean over its stretches
 BUCKETS = 1024  # hashed features; half for shapes, half for words
 KEPT = 300_000
 
@@ -33,6 +33,9 @@ der die das und ist den von mit ein eine auf im dem nicht
 el los las por para con se del una lo como y
 """.split())
 SYMBOLS = b"|%&$*#@^~<>{}[]_=+\\/!"
+#: First bytes, in UTF-8, of Latin letters, and of the other scripts (without the punctuation and signs of U+2000-2FFF).
+LATIN = bytes([*range(65, 91), *range(97, 123), *range(0xC3, 0xCA)])
+FOREIGN = bytes([*range(0xCA, 0xE2), *range(0xE3, 0xF0)])
 EDGE = ".,;:!?%*&$#|\"'()"
 
 HEURISTICS = ("symbols", "symbol_words", "capitals", "repetition", "function_words", "sentence_ends", "word_length", "variety", "lines")
@@ -46,7 +49,10 @@ def _vote(value, good, bad):
 
 
 def votes(text: str) -> list[int]:
-    """One vote for each heuristic; a text without a word gets -1 from all."""
+    """One vote for each heuristic; a text without a word gets -1 from all.
+
+    Function words, sentence ends and the length of words say nothing bad of a text that is mostly not in Latin script.
+    """
     words = text.split()
     n = len(words)
     if not n:
@@ -59,18 +65,23 @@ def votes(text: str) -> list[int]:
     function = sum(w.strip(EDGE).lower() in FUNCTION_WORDS for w in words) / n
     ends = sum(w[-1] in ".?!" for w in words) / n
     length = sum(map(len, words)) / n
-    variety = len(set(words)) / n
+    variety = sum(len(set(words[at:at + STRETCH])) for at in range(0, n, STRETCH)) / n
     lines = text.split("\n")
     short = n < 30  # then shares of words say little
+    foreign = not raw.isascii() and len(raw.translate(None, FOREIGN)) < len(raw.translate(None, LATIN))
+
+    def known(vote):
+        return max(0, vote) if foreign else vote
+
     return [
         _vote(symbols, (0, 0.02), [(0.05, 1)]),
         _vote(marked, (0, 0.05), [(0.15, 1)]),
         _vote(capitals, (0, 0.1), [(0.3, 1)]),
         _vote(repetition, (0, 0.06), [(0.2, 1)]),
-        1 if short else _vote(function, (0.08, 0.6), [(0, 0.03)]),
-        1 if short else _vote(ends, (0.02, 0.4), [(0.6, 1), (0, 0.005)]),
-        _vote(length, (2.5, 12), [(0, 2), (15, float("inf"))]),
-        1 if short else _vote(variety, (0.4, 1), [(0, 0.2)] if n <= 5000 else []),
+        1 if short else known(_vote(function, (0.08, 0.6), [(0, 0.03)])),
+        1 if short else known(_vote(ends, (0.02, 0.4), [(0.6, 1), (0, 0.005)])),
+        known(_vote(length, (2.5, 12), [(0, 2), (15, float("inf"))])),
+        1 if short else _vote(variety, (0.4, 1), [(0, 0.2)]),
         _vote(len(set(lines)) / len(lines), (0.6, 1), [(0, 0.5)] if len(lines) >= 5 else []),
     ]
 
@@ -178,12 +189,13 @@ def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     def sample(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"votes": frame["text"].map(votes),
+            yield pd.DataFrame({"rank": frame["rank"], "votes": frame["text"].map(votes),
                                 "x": [features(t).astype(np.float16).tobytes() for t in frame["text"]]})
 
     rank = F.xxhash64("doc_id", "text")
-    short = docs.select("doc_id", text.alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-    chosen = (hash_sample(short, rank, sum(r["count"] for r in patterns), SAMPLE).mapInPandas(sample, "votes array<int>, x binary")).toPandas()
+    # texts of any length become features where they are read; only these are gathered
+    some = docs.where(hash_bound(rank, sum(r["count"] for r in patterns), SAMPLE)).select(rank.alias("rank"), text.alias("text"))
+    chosen = some.mapInPandas(sample, "rank long, votes array<int>, x binary").orderBy("rank").limit(SAMPLE).toPandas()
     if not len(chosen):
         return share, table, np.zeros(BUCKETS + 2)
     x = np.stack([np.frombuffer(b, np.float16) for b in chosen["x"]]).astype(np.float32)

@@ -42,3 +42,22 @@ def test_edges(edge, nothing):
     assert got[got.doc_id.isin([3, 4, 5, 10])].score.tolist() == [0.0] * 4
     assert q.keep_good(edge).columns == edge.columns
     assert q.classify(nothing).count() == q.keep_good(nothing).count() == 0
+
+
+def test_long_documents_are_fitted_on_and_filtered(spark, rows):
+    kept = q.classify(spark.createDataFrame(rows[["doc_id", "text"]])).toPandas().set_index("doc_id").kept
+    prose = [t for i, t in zip(rows.doc_id, rows.text) if kept[i] and len(t) > 500]
+    good = ["\n".join((prose[i:] + prose[:i]) * 9)[:30_000] for i in range(0, 40, 2)]
+    junk = [" ".join(f"#{i * j % 97}% |||| $$$ &{j}" for j in range(3000)) for i in range(1, 11)]
+    texts = good + junk
+    assert min(map(len, texts)) > 20_000
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = q.classify(docs).orderBy("doc_id").toPandas()
+    assert got.kept.tolist() == [True] * len(good) + [False] * len(junk)
+
+
+def test_heuristics_abstain_on_other_scripts_and_judge_long_texts():
+    russian = "Мама мыла раму каждое утро перед работой. Потом она пила чай и читала газету у окна. " * 3
+    at = dict(zip(q.HEURISTICS, q.votes(russian)))
+    assert at["function_words"] == 0 and at["sentence_ends"] == 1
+    assert dict(zip(q.HEURISTICS, q.votes("spam eggs " * 4000)))["variety"] == -1
