@@ -81,6 +81,13 @@ def op10_pieces(spark, sf_dir):
     return pieces.digest(pieces.encode(table(spark, sf_dir, "documents"), _public("piece_bpe_32k.model")))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    from . import repair
+
+    return repair.digest(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op2_line_dedup, op3_surrogates, op4_class_lm, op5_bottom_k, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_quality, op10_pieces)}
+    op1_secret_scan, op2_line_dedup, op3_surrogates, op4_class_lm, op5_bottom_k, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_quality, op10_pieces,
+    op11_conversation_repair)}
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL}
