@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import line_dedup, vector_codes
+from . import licenses, line_dedup, vector_codes
 from .common import table
 
 
@@ -87,11 +87,16 @@ def op11_conversation_repair(spark, sf_dir):
     return repair.digest(repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_license_scan(spark, sf_dir):
+    return licenses.digest(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark, sf_dir):
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_line_dedup, op3_surrogates, op4_class_lm, op5_bottom_k, op6_packing, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_quality, op10_pieces,
-    op11_conversation_repair, op13_vector_codes)}
-ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op13_vector_codes": vector_codes.SQL}
+    op11_conversation_repair, op12_license_scan, op13_vector_codes)}
+ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op12_license_scan": licenses.SQL,
+                           "op13_vector_codes": vector_codes.SQL}
