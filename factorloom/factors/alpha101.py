@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import ts, xs
-from ..functions.scalar import (div, flag, larger, less, ln, nonzero, not_more, pick, power, sign, smaller)
+from ..functions.scalar import (div, flag, larger, less, ln, minus, nonzero, not_more, pick, power, sign, smaller)
 from .staging import by_date, by_ticker, rank
 
 scale = xs.scale
@@ -416,7 +416,7 @@ def f060(b):
     p = yield by_ticker(ts.argmax(b.C, 10))
     x, y = yield by_date(rank(div(((b.C - b.L) - (b.H - b.C)) * b.V, nonzero(b.H - b.L, 0.0001))), rank(p))
     x, y = yield by_date(scale(x), scale(y))
-    return -(2 * x - y)
+    return minus(y, 2 * x)
 
 
 def f061(b):

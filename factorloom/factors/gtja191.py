@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import ts
-from ..functions.scalar import div, larger, less, ln, not_more, pick, power, sign, smaller, snap
+from ..functions.scalar import div, larger, less, ln, not_more, pick, power, sign, smaller
 from .staging import by_date, by_ticker, rank
 
 
@@ -1007,8 +1007,8 @@ def _directional(b):
     h, l, t = yield by_ticker(ts.delay(b.H, 1), ts.delay(b.L, 1), ts.true_range(b.H, b.L, b.C))
     up, down = b.H - h, l - b.L
     s1, s2, s = yield by_ticker(
-        ts.sum_if((snap(down) > 0) & less(up, down), down, 14),
-        ts.sum_if((snap(up) > 0) & less(down, up), up, 14),
+        ts.sum_if((down > 0) & less(up, down), down, 14),
+        ts.sum_if((up > 0) & less(down, up), up, 14),
         ts.total(t, 14))
     s1, s2 = div(s1 * 100, s), div(s2 * 100, s)
     return (yield by_ticker(ts.mean(div(F.abs(s1 - s2), s1 + s2) * 100, 6)))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import xs
-from ..functions.scalar import snap
+from ..functions.scalar import significant
 from ..functions.ts import Carried, carry
 
 KEYS = ["ticker", "trade_date"]
@@ -76,7 +76,7 @@ def _rank_long(df: DataFrame, operands: dict[str, Column]) -> DataFrame:
     of them carries the other columns. Ranking and regrouping both keep the partitioning, so nothing is shuffled.
     """
     rest = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in KEYS])
-    items = [F.struct(F.lit(i).alias("pos"), snap(x).alias("x"),
+    items = [F.struct(F.lit(i).alias("pos"), significant(x).alias("x"),
                       (rest if i == 0 else F.when(F.lit(False), rest)).alias("rest"))
              for i, x in enumerate(operands.values())]
     w = Window.partitionBy("trade_date", "pos").orderBy(F.col("x").asc_nulls_last())

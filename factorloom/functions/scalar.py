@@ -36,21 +36,40 @@ def log10(x) -> Column:
     return F.log10(col(x))
 
 
-def snap(x) -> Column:
-    """Round to nine decimals, so that summation noise neither breaks nor makes ties."""
-    return F.rint(col(x) * 1e9) / F.lit(1e9)
+#: Values are alike if they agree to about this share of their size, which is far above the noise of sums.
+ALIKE = 2.0 ** -39
+
+
+def significant(x, bits: int = 39) -> Column:
+    """Round to so many significant bits, whatever the size: noise in the order of sums makes no two values of one."""
+    x, k = col(x), F.lit(2.0 ** (53 - bits) + 1)
+    # the leading bits by a product that pushes the others out; huge values have no room for it and stay
+    return F.when(F.abs(x) < 1e290, x * k - (x * k - x)).otherwise(x)
 
 
 def sign(x) -> Column:
-    return F.signum(snap(x))
+    return F.signum(col(x))
+
+
+def _apart(a, b) -> Column:
+    return F.greatest(F.abs(a), F.abs(b)) * ALIKE
 
 
 def less(a, b) -> Column:
-    return snap(col(a) - col(b)) < 0
+    """a < b by more than noise, measured by the larger of the two."""
+    a, b = col(a), col(b)
+    return b - a > _apart(a, b)
 
 
 def not_more(a, b) -> Column:
-    return snap(col(a) - col(b)) <= 0
+    a, b = col(a), col(b)
+    return a - b <= _apart(a, b)
+
+
+def minus(a, b) -> Column:
+    """a - b, with 0 where only noise is left of two values alike."""
+    a, b = col(a), col(b)
+    return F.when(F.abs(a - b) <= _apart(a, b), 0.0).otherwise(a - b)
 
 
 def larger(a, b) -> Column:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-from .scalar import col, div, finite, larger, smaller, snap
+from .scalar import ALIKE, col, div, finite, larger, smaller, significant
 
 KEY, TIME = "ticker", "trade_date"
 
@@ -92,14 +92,17 @@ def cov(x, y, n):
 
 
 def corr(x, y, n):
-    """Rolling Pearson correlation; NULL when either side is constant up to rounding noise."""
+    """Rolling Pearson correlation; NULL when either side is constant up to rounding noise, 0 when only noise is left."""
     x, y = _both(x, y)
     w = last(n)
     sx, sy = F.stddev_samp(x).over(w), F.stddev_samp(y).over(w)
-    varies = (sx > 1e-9 * F.abs(F.avg(x).over(w))) & (sy > 1e-9 * F.abs(F.avg(y).over(w)))
+    mx, my = F.abs(F.avg(x).over(w)), F.abs(F.avg(y).over(w))
+    varies = (sx > 1e-9 * mx) & (sy > 1e-9 * my)
+    # what rounding takes from a linear relation grows with the means beside the deviations
+    slack = (div(mx, sx) + div(my, sy) + 1) * 2.0 ** -48
     r = div(F.covar_samp(x, y).over(w), sx * sy)
-    # within 1e-7 of +-1 only noise is left: an exact linear relation
-    r = F.when(F.abs(r) > 1 - 1e-7, F.signum(r)).otherwise(r)
+    # a covariance that small beside both deviations is what rounding leaves of a sum of zero
+    r = F.when(F.abs(r) <= ALIKE, 0.0).when(1 - F.abs(r) <= slack, F.signum(r)).otherwise(r)
     return _full(x, n, F.when(varies, r), None)
 
 
@@ -111,7 +114,7 @@ def _fold(x, n, start, step):
 
 def rank(x, n):
     """Average-tie rank (1..n) of the newest value within the last n rows."""
-    x = snap(x)
+    x = significant(x)
     below = _fold(x, n, F.lit(0.5),
                   lambda acc, v: acc + F.when(v < x, 1.0).when(v == x, 0.5).otherwise(0.0))
     return below
@@ -123,14 +126,14 @@ def rank_pct(x, n):
 
 def rank_of_top(x, n):
     """rank / highest average-tie rank in the window, which is below n when the maximum is tied."""
-    x = snap(x)
+    x = significant(x)
     top = F.max(x).over(last(n))
     tied = _fold(x, n, F.lit(0.0), lambda acc, v: acc + F.when(v == top, 1.0).otherwise(0.0))
     return rank(x, n) / (n - (tied - 1) / 2)
 
 
 def _position(x, n, best):
-    x = snap(x)
+    x = significant(x)
     place = F.array_position(F.collect_list(x).over(last(n)), best(x).over(last(n)))
     return _full(x, n, place.cast("double"), None)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-from .scalar import col, div, snap
+from .scalar import col, div, significant
 
 TIME = "trade_date"
 
@@ -25,7 +25,7 @@ def _ordered(x: Column, ascending: bool, by):
 
 def rank(x, ascending=True, by=()):
     """Average-tie rank. All three parts share one window, so a day is sorted once per operand."""
-    x = snap(x)
+    x = significant(x)
     w = _ordered(x, ascending, by)
     up_to = F.count(x).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return F.when(x.isNotNull(), (F.rank().over(w) + up_to) / 2)
@@ -33,14 +33,14 @@ def rank(x, ascending=True, by=()):
 
 def rank_max(x, ascending=True, by=()):
     """Rank where ties share the highest place."""
-    x = snap(x)
+    x = significant(x)
     w = _ordered(x, ascending, by).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return F.when(x.isNotNull(), F.count(x).over(w).cast("double"))
 
 
 def _share(x, place, ascending, by):
-    w = _ordered(snap(x), ascending, by)
-    n = F.count(snap(x)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    w = _ordered(significant(x), ascending, by)
+    n = F.count(significant(x)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return place / n
 
 

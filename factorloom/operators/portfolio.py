@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ts, xs
-from ..functions.scalar import div, snap
+from ..functions.scalar import div, less
 from .filters import month_key
 from .joins import month_ends
 
@@ -147,4 +147,4 @@ def export_ledger(trades: DataFrame, bars: DataFrame) -> DataFrame:
     sale = px.select("ticker", F.col("trade_date").alias("sale_date"), F.col("close_price").alias("sale_close"))
     return (trades.join(buy, ["ticker", "buy_date"], "left").join(sale, ["ticker", "sale_date"], "left")
             .withColumn("chg_pct", div("sale_close", "buy_close") - 1)
-            .withColumn("price_matches", snap(F.col("buy_price") - F.col("buy_close")) == 0))
+            .withColumn("price_matches", ~(less("buy_price", "buy_close") | less("buy_close", "buy_price"))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .sql import (absolute, argmax, argmin, big, corr, cov, decay, delay, delta, log, mean, or_else, power, prod, rank,
+from .sql import (absolute, argmax, argmin, big, corr, cov, decay, delay, delta, log, mean, minus, or_else, power, prod, rank,
                   scale, sign, small, ssum, std, tsmax, tsmin, tsrank, unzero, where, zero_for_null)
 
 
@@ -114,8 +114,8 @@ FORMULAS = {
                                                                                0.0001)), rank(b.V), 6)),
     "f056": lambda b: 0 - rank(ssum(b.R, 10) / ssum(ssum(b.R, 2), 3)) * rank(b.R * b.CAP),
     "f057": lambda b: 0 - (b.C - b.W) / decay(rank(argmax(b.C, 30)), 2),
-    "f060": lambda b: 0 - (2 * scale(rank(((b.C - b.L) - (b.H - b.C)) / unzero(b.H - b.L, 0.0001) * b.V))
-                           - scale(rank(argmax(b.C, 10)))),
+    "f060": lambda b: minus(scale(rank(argmax(b.C, 10))),
+                            2 * scale(rank(((b.C - b.L) - (b.H - b.C)) / unzero(b.H - b.L, 0.0001) * b.V))),
     "f061": lambda b: where(rank(b.W - tsmin(b.W, 16)) < rank(corr(b.W, b.adv(180), 18)), 1, 0),
     "f062": lambda b: lt(rank(corr(b.W, ssum(b.adv(20), 22), 10)),
                          rank(where(rank(b.O) + rank(b.O) < rank(mid(b)) + rank(b.H), 1, 0))),

@@ -13,7 +13,7 @@ from ..operators.metrics import SelectMetric, append_metrics
 from ..sources import driver_tables as d
 from .common import tidy
 from .primitives import neutral_ctes
-from .sql import TRADED, out
+from .sql import TRADED, out, sig
 
 QUERIES, ORACLES = {}, {}
 
@@ -112,7 +112,7 @@ def _wq(price):
                 f" + (count(*) over (partition by trade_date, {c}) - 1) / 2.0::double")
     return f""",
 wr as (select *, {avg_rank(price)} as pr, {avg_rank('turnover_vol')} as vr from traded),
-wc as (select *, case when count(*) {w(5)} >= 5 then round(-covar_samp(pr, vr) {w(5)}, 9) end as nc from wr),
+wc as (select *, case when count(*) {w(5)} >= 5 then {sig(f"(-covar_samp(pr, vr) {w(5)})")} end as nc from wr),
 wq as (select *, case when nc is not null then (rank() over (partition by trade_date, nc is null order by nc)
    + count(*) over (partition by trade_date, nc) - 1)::double end as wqr from wc)"""
 

@@ -13,7 +13,7 @@ from ..sources import driver_tables as d
 from .common import tidy
 from .metrics import EQUITY, HFQ, w
 from .relational import CALENDAR, CHOICE
-from .sql import TRADED, out
+from .sql import TRADED, alike, out, sig
 
 QUERIES, ORACLES = {}, {}
 
@@ -43,7 +43,7 @@ sig as (select *, case when count(*) {w(6)} >= 5 then
 
 
 def _max_rank(x, part, desc=False):
-    x = f"round({x}, 9)"
+    x = sig(x)
     return (f"case when {x} is not null then (rank() over (partition by {part} order by {x} {'desc' if desc else ''}"
             f" nulls last) + count(*) over (partition by {part}, {x}) - 1)::double end")
 
@@ -57,8 +57,8 @@ def ranked_ctes(source: str, out_name="ranked", part="trade_date") -> str:
 {out_name}_c as (select *, 100 * {_max_rank('blend', part)} / count(blend) over (partition by {part}) as xrank
   from {out_name}_b),
 {out_name} as (select *, case when xrank is not null then
-    rank() over (partition by {part} order by round(xrank, 9) desc nulls last)
-    + (count(*) over (partition by {part}, round(xrank, 9)) - 1) / 2.0::double end as rnk from {out_name}_c)"""
+    rank() over (partition by {part} order by {sig("xrank")} desc nulls last)
+    + (count(*) over (partition by {part}, {sig("xrank")}) - 1) / 2.0::double end as rnk from {out_name}_c)"""
 
 
 RANKED = SIGNALS + ranked_ctes("sig")
@@ -114,16 +114,16 @@ ORACLES["b05_trade_flags"] = ORACLES["b05_trade_flags"].replace(
 
 @add("b06_top10_by_bias", f"""select ticker, trade_date, {out('bias6')} as bias6, {out('r')} as bias_rank from (
     select *, row_number() over (partition by trade_date order by r, ticker) as n from (
-      select *, rank() over (partition by trade_date order by round(bias6, 9) desc)
-        + (count(*) over (partition by trade_date, round(bias6, 9)) - 1) / 2.0::double as r
+      select *, rank() over (partition by trade_date order by {sig('bias6')} desc)
+        + (count(*) over (partition by trade_date, {sig('bias6')}) - 1) / 2.0::double as r
       from sig where bias6 is not null)) where n <= 10""", SIGNALS)
 def _(spark, sf):
     df = _signals(spark, sf).where("bias6 is not null").withColumn("bias_rank", xs.rank("bias6", False))
     return ranking.top_n(df, 10, ["bias_rank", "ticker"]).select("ticker", "trade_date", "bias6", "bias_rank")
 
 
-def _rebalance(spark):
-    return cal.rebalance_dates(d.trade_calendar(spark), START, END, EVERY)
+def _rebalance(spark, sf):
+    return cal.rebalance_dates(d.trade_calendar(spark, sf), START, END, EVERY)
 
 
 REBALANCE = CALENDAR + f""",
@@ -136,7 +136,7 @@ reb as (select cast(i // {EVERY} as int) as period, dt, lead(dt) over (order by
 @add("b07_rebalance_dates", "select period, dt as trade_date, end_date, count(b.ticker) as bars from reb"
      " left join bars b on b.trade_date = dt group by all", REBALANCE)
 def _(spark, sf):
-    return (_rebalance(spark).join(d.bars(spark, sf), "trade_date", "left")
+    return (_rebalance(spark, sf).join(d.bars(spark, sf), "trade_date", "left")
             .groupBy("period", "trade_date", "end_date").agg(F.count("ticker").alias("bars")))
 
 
@@ -144,12 +144,12 @@ def _held(spark, sf):
     """Best ranked tickers of every rebalance date, with the return until the next one."""
     full = portfolio.last_traded_price(m.back_adjust(d.bars(spark, sf)))
     signals = m.bias(filters.drop_suspended(full), "bias6", 6)
-    reb = _rebalance(spark)
+    reb = _rebalance(spark, sf)
     dated = signals.join(reb.where("end_date is not null"), "trade_date")
     picks = (ranking.top_n(ranking.rank(dated, FACTORS).where("rank is not null and chg_pct > -0.5"), POSITIONS)
              .select(F.lit("bias").alias("strategy"), "period", "ticker", "trade_date", "end_date", "px"))
     prices = portfolio.period_prices(full.select("ticker", "trade_date", "px"),
-                                     cal.period_of_dates(d.trade_calendar(spark), reb))
+                                     cal.period_of_dates(d.trade_calendar(spark, sf), reb))
     return portfolio.period_returns(picks, prices)
 
 
@@ -200,7 +200,7 @@ dated as (select s.*, r.period, r.end_date from sig s join reb r on r.dt = s.tra
 def _(spark, sf):
     """What a balance that differs by rebalance date buys of the candidates left after exclusions."""
     signals = m.bias(filters.drop_suspended(portfolio.last_traded_price(m.back_adjust(d.bars(spark, sf)))), "bias6", 6)
-    dated = signals.join(_rebalance(spark), "trade_date").withColumn("balance", F.expr("20000D + 3500 * (period % 9)"))
+    dated = signals.join(_rebalance(spark, sf), "trade_date").withColumn("balance", F.expr("20000D + 3500 * (period % 9)"))
     candidates = ranking.rank(dated, FACTORS).where("rank is not null and chg_pct > -0.5")
     return ranking.affordable(candidates, "balance", 10000, 6000).select("trade_date", "period", "ticker", "balance")
 
@@ -267,7 +267,7 @@ def _(spark, sf):
 @add("b19_small_cap_monthly", f"""select start_date, trade_date, {out('all_next')} as all_next,
   {out('small_next')} as small_next, tickers,
   {out('product(1 + all_next) over l')} as line_all, {out('product(1 + small_next) over l')} as line_small
-from days window l as (partition by start_date order by trade_date rows unbounded preceding)""", CALENDAR + """,
+from days window l as (partition by start_date order by trade_date rows unbounded preceding)""", CALENDAR + f""",
 daily as (select s.start_date, b.ticker, b.trade_date, b.is_open, b.market_value, b.chg_pct,
     product(1 + b.chg_pct) over mo - 1 as month_ret, count(case when b.is_open then 1 end) over mo as open_days
   from bars b join (values (date '1995-01-01'), (date '1997-01-01'), (date '1999-01-01')) s(start_date)
@@ -277,20 +277,20 @@ ends as (select * from (select daily.*, coalesce(lead(month_ret) over (partition
       order by trade_date), month_ret) as next_ret
     from daily join cal on calendar_date = trade_date where is_month_end)
   where is_open and open_days >= 2 and chg_pct <= 0.5),
-marked as (select *, rank() over d + (count(*) over (partition by start_date, trade_date, round(market_value, 9)) - 1)
+marked as (select *, rank() over d + (count(*) over (partition by start_date, trade_date, {sig('market_value')}) - 1)
     / 2.0::double <= 5 as small from ends window d as (partition by start_date, trade_date order by
-    round(market_value, 9))),
+    {sig('market_value')})),
 days as (select start_date, trade_date, avg(next_ret) as all_next, avg(case when small then next_ret end) as small_next,
     coalesce(string_agg(case when small then ticker::varchar end, ' ' order by ticker::varchar), '') as tickers
   from marked group by all)""")
 def _(spark, sf):
-    return portfolio.small_cap_monthly(d.bars(spark, sf), d.trade_calendar(spark),
+    return portfolio.small_cap_monthly(d.bars(spark, sf), d.trade_calendar(spark, sf),
                                        ["1995-01-01", "1997-01-01", "1999-01-01"], 5, min_open_days=2, max_change=0.5)
 
 
 @add("b22_export_ledger", f"select c.ticker, c.trade_date as buy_date, c.sale_date, {out('b.close_price')} as buy_close,"
      f" {out('s.close_price')} as sale_close, {out('s.close_price / b.close_price - 1')} as chg_pct,"
-     " round(c.buy_price - b.close_price, 9) = 0 as price_matches from choice c"
+     f" abs(c.buy_price - b.close_price) <= {alike('c.buy_price', 'b.close_price')} as price_matches from choice c"
      " left join bars b on b.ticker = c.ticker and b.trade_date = c.trade_date"
      " left join bars s on s.ticker = c.ticker and s.trade_date = c.sale_date", CHOICE)
 def _(spark, sf):

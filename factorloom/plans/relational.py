@@ -23,7 +23,8 @@ BAR_SQL = (f"ticker, trade_date, {out('open_price')} as open_price, {out('close_
 CALENDAR = """,
 cal as (select cast(c as date) as calendar_date, isodow(c) = 1 as is_open,
     isodow(c) = 1 and month(c + interval 7 day) <> month(c) as is_month_end
-  from (select unnest(generate_series(timestamp '1995-01-02', timestamp '2001-11-04', interval 1 day)) as c))"""
+  from (select unnest(generate_series(date_trunc('week', min(l_shipdate)), date_trunc('week', max(l_shipdate)) + interval 6 day,
+    interval 1 day)) as c from lineitem))"""
 CHOICE = """,
 choice as (select ticker, trade_date, trade_date + 21 as sale_date, close_price as buy_price
   from bars, (values (1), (2)) c(copy)
@@ -61,7 +62,7 @@ def _(spark, sf):
      " join cal on calendar_date = trade_date", CALENDAR)
 def _(spark, sf):
     days = d.bars(spark, sf).select("trade_date").distinct()
-    c = readers.calendar(d.trade_calendar(spark))
+    c = readers.calendar(d.trade_calendar(spark, sf))
     return days.join(c.withColumnRenamed("calendar_date", "trade_date"), "trade_date").select(
         "trade_date", "is_open", "is_month_end")
 
@@ -295,7 +296,7 @@ def _(spark, sf):
      f" as trade_month, {out('close_price')} as close_price from bars join cal on calendar_date = trade_date"
      " where is_month_end", CALENDAR)
 def _(spark, sf):
-    return joins.month_ends(d.bars(spark, sf), d.trade_calendar(spark)).select(
+    return joins.month_ends(d.bars(spark, sf), d.trade_calendar(spark, sf)).select(
         "ticker", "trade_date", "trade_month", "close_price")
 
 
@@ -440,27 +441,27 @@ def _(spark, sf):
 @add("t01_is_trade_date", "select ticker, sale_date, is_open from choice left join cal on calendar_date = sale_date",
      CHOICE + CALENDAR)
 def _(spark, sf):
-    return cal.is_trade_date(d.choice(spark, sf), d.trade_calendar(spark), "sale_date").select(
+    return cal.is_trade_date(d.choice(spark, sf), d.trade_calendar(spark, sf), "sale_date").select(
         "ticker", "sale_date", "is_open")
 
 
 @add("t01_unknown_dates", "select ticker, sale_date from choice where not exists"
      " (select 1 from cal where calendar_date = sale_date)", CHOICE + CALENDAR)
 def _(spark, sf):
-    return cal.unknown_dates(d.choice(spark, sf), d.trade_calendar(spark), "sale_date").select("ticker", "sale_date")
+    return cal.unknown_dates(d.choice(spark, sf), d.trade_calendar(spark, sf), "sale_date").select("ticker", "sale_date")
 
 
 def _offset_sql(k):
     side, order, skip = ("<=", "desc", k) if k >= 0 else (">=", "asc", -k)
     return (f"(select calendar_date from cal where is_open and calendar_date {side} o.d and o.d between"
-            f" date '1995-01-02' and date '2001-11-04' order by calendar_date {order} limit 1 offset {skip})")
+            f" (select min(calendar_date) from cal) and (select max(calendar_date) from cal) order by calendar_date {order} limit 1 offset {skip})")
 
 
 @add("t02_trade_date_by_offset", f"select o.d as day, {_offset_sql(0)} as back0, {_offset_sql(5)} as back5,"
      f" {_offset_sql(-3)} as ahead3 from (select distinct cast(o_orderdate as date) as d from orders) o", CALENDAR)
 def _(spark, sf):
     days = d.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
-    c = d.trade_calendar(spark)
+    c = d.trade_calendar(spark, sf)
     for k, name in ((0, "back0"), (5, "back5"), (-3, "ahead3")):
         days = cal.trade_date_by_offset(days, c, k, "day", name)
     return days.select("day", "back0", "back5", "ahead3")
@@ -470,7 +471,7 @@ def _(spark, sf):
      " where is_open and calendar_date between date '1997-01-01' and date '1997-12-31') left join bars b"
      " using (trade_date) group by trade_date", CALENDAR)
 def _(spark, sf):
-    days = cal.trade_dates(d.trade_calendar(spark), "1997-01-01", "1997-12-31")
+    days = cal.trade_dates(d.trade_calendar(spark, sf), "1997-01-01", "1997-12-31")
     return (days.join(d.bars(spark, sf, start="1997-01-01", end="1997-12-31"), "trade_date", "left")
             .groupBy("trade_date").agg(F.count("ticker").alias("bars")))
 

@@ -10,7 +10,7 @@ BARS = """
 raw_bars as (
   select l_partkey % 24 as ticker, cast(date_trunc('week', l_shipdate) as date) as trade_date,
     l_extendedprice / nullif(l_quantity, 0) as px,
-    row(l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity) as ord, *
+    row(l_shipdate::date, l_orderkey, l_linenumber, l_extendedprice, l_quantity) as ord, *
   from lineitem),
 agg_bars as (
   select ticker, trade_date, arg_min(px, ord) as first_price, arg_max(px, ord) as close_price,
@@ -60,13 +60,22 @@ def with_traded(body: str) -> str:
 
 
 def out(e: str) -> str:
-    """How results are compared: noise around zero removed, then 24 significant bits (Veltkamp split)."""
+    """How results are compared: 24 significant bits (Veltkamp split)."""
     k, down, up = "536870913.0::double", "pow(2.0, -100)", "pow(2.0, 100)"
-    return (f"case when abs({e}) < 1e-9 then 0.0::double when abs({e}) >= 1e290"
+    return (f"case when abs({e}) >= 1e290"
             f" then (({e}) * {down} * {k} - (({e}) * {down} * {k} - ({e}) * {down})) * {up}"
             f" else ({e}) * {k} - (({e}) * {k} - ({e})) end")
 
 
+def sig(e: str) -> str:
+    """39 significant bits."""
+    return f"case when abs({e}) < 1e290 then ({e}) * 16385::double - (({e}) * 16385::double - ({e})) else ({e}) end"
+
+
+def alike(a: str, b: str) -> str:
+    return f"greatest(abs({a}), abs({b})) * pow(2.0::double, -39)"
+
+
 class E:
     """SQL text of a formula plus the number of the CTE that has all its columns."""
 
@@ -86,10 +95,10 @@ class E:
     def __truediv__(self, o): return self._mix("({a} / nullif({b}, 0))", o)
     def __rtruediv__(self, o): return self._mix("({b} / nullif({a}, 0))", o)
     def __neg__(self): return E(self.book, f"(-{self.sql})", self.level)
-    def __lt__(self, o): return self._mix("(round({a} - {b}, 9) < 0)", o)
-    def __gt__(self, o): return self._mix("(round({a} - {b}, 9) > 0)", o)
-    def __le__(self, o): return self._mix("(round({a} - {b}, 9) <= 0)", o)
-    def __ge__(self, o): return self._mix("(round({a} - {b}, 9) >= 0)", o)
+    def __lt__(self, o): return self._mix(f"(({{b}} - {{a}}) > {alike('{a}', '{b}')})", o)
+    def __gt__(self, o): return self._mix(f"(({{a}} - {{b}}) > {alike('{a}', '{b}')})", o)
+    def __le__(self, o): return self._mix(f"(({{a}} - {{b}}) <= {alike('{a}', '{b}')})", o)
+    def __ge__(self, o): return self._mix(f"(({{b}} - {{a}}) <= {alike('{a}', '{b}')})", o)
     def __and__(self, o): return self._mix("({a} and {b})", o)
     def __or__(self, o): return self._mix("({a} or {b})", o)
     def __pow__(self, o): return power(self, o)
@@ -141,8 +150,17 @@ def power(x, e):
 
 
 def absolute(x): return fn("abs({0})", x)
+def minus(x, y): return fn(f"(case when abs({{0}} - {{1}}) <= {alike('{0}', '{1}')} then 0.0::double else {{0}} - {{1}} end)", x, y)
 def log(x): return fn("(case when {0} > 0 then ln({0}) end)", x)
-def sign(x): return fn("sign(round({0}, 9))::double", x)
+def sign(x): return fn("sign({0})::double", x)
+
+
+def rounded(x):
+    """39 significant bits of x, a column of its own."""
+    return x.book.column(sig(x.sql), x.level)
+
+
+
 def big(x, y): return fn("(case when {0} is not null and {1} is not null then greatest({0}, {1}) end)", x, y)
 def small(x, y): return fn("(case when {0} is not null and {1} is not null then least({0}, {1}) end)", x, y)
 def where(c, x, y): return fn("(case when {0} then {1} else {2} end)", c, x, y)
@@ -193,13 +211,15 @@ def corr(x, y, n):
     r = "covar_samp({0}, {1}) over {w} / (stddev_samp({0}) over {w} * stddev_samp({1}) over {w})"
     return _ts("case when stddev_samp({0}) over {w} > 1e-9 * abs(avg({0}) over {w})"
                " and stddev_samp({1}) over {w} > 1e-9 * abs(avg({1}) over {w})"
-               f" then case when abs({r}) > 1 - 1e-7 then sign({r})::double else {r} end end", n, mx, my)
+               f" then case when abs({r}) <= pow(2.0::double, -39) then 0.0::double when 1 - abs({r}) <= pow(2.0::double, -48)"
+               " * (1 + abs(avg({0}) over {w}) / stddev_samp({0}) over {w} + abs(avg({1}) over {w}) / stddev_samp({1}) over {w})"
+               f" then sign({r})::double else {r} end end", n, mx, my)
 
 
 def tsrank(x, n):
-    a = "list(round({0}, 9)) over {w}"
-    return _ts(f"(len(list_filter({a}, lambda item: item < round({{0}}, 9)))"
-               f" + (len(list_filter({a}, lambda item: item = round({{0}}, 9))) + 1) / 2.0::double)", n, x)
+    a = "list({0}) over {w}"
+    return _ts(f"(len(list_filter({a}, lambda item: item < {{0}}))"
+               f" + (len(list_filter({a}, lambda item: item = {{0}})) + 1) / 2.0::double)", n, rounded(x))
 
 
 def tsrank_pct(x, n):
@@ -207,17 +227,18 @@ def tsrank_pct(x, n):
 
 
 def tsrank_top(x, n):
-    peak = _ts("max(round({0}, 9)) over {w}", n, x)
-    tied = _ts("len(list_filter(list(round({0}, 9)) over {w}, lambda item: item = {1}))", n, x, peak, need=1)
+    r = rounded(x)
+    peak = _ts("max({0}) over {w}", n, r)
+    tied = _ts("len(list_filter(list({0}) over {w}, lambda item: item = {1}))", n, r, peak, need=1)
     return tsrank(x, n) / (n - (tied - 1) / 2)
 
 
 def argmax(x, n):
-    return _ts("list_position(list(round({0}, 9)) over {w}, max(round({0}, 9)) over {w})::double", n, x)
+    return _ts("list_position(list({0}) over {w}, max({0}) over {w})::double", n, rounded(x))
 
 
 def argmin(x, n):
-    return _ts("list_position(list(round({0}, 9)) over {w}, min(round({0}, 9)) over {w})::double", n, x)
+    return _ts("list_position(list({0}) over {w}, min({0}) over {w})::double", n, rounded(x))
 
 
 def highday(x, n): return (n + 1) - argmax(x, n)
@@ -277,12 +298,12 @@ def sumif(x, n, c): return ssum(where(c, x, 0), n)
 # ---- windows by trade date
 
 def rank(x):
-    r = f"round({x.sql}, 9)"
+    r = rounded(x)
     return x.book.column(
-        f"case when {x.sql} is not null then"
-        f" (rank() over (partition by trade_date order by {r} nulls last)"
-        f" + (count(*) over (partition by trade_date, {r}) - 1) / 2.0::double)"
-        f" / count({x.sql}) over (partition by trade_date) end", x.level)
+        f"case when {r.sql} is not null then"
+        f" (rank() over (partition by trade_date order by {r.sql} nulls last)"
+        f" + (count(*) over (partition by trade_date, {r.sql}) - 1) / 2.0::double)"
+        f" / count({r.sql}) over (partition by trade_date) end", r.level)
 
 
 def scale(x, k=1):

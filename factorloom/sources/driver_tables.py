@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EPOCH = "1995-01-02"
-CALENDAR_END = "2001-11-04"
 TICKERS = 24
 
 
@@ -18,11 +17,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# The order of a bar's rows: date, order, line, part and extended price as one number. A number is a fixed-width
-# aggregation buffer, so first and last price need no sort. Rows alike in all five have one price.
-PLACE = ("cast(datediff(l_shipdate, date'1970-01-01') as decimal(5,0)) * 1000000000000000000000000000000000BD"
-         " + cast(l_orderkey as decimal(12,0)) * 1000000000000000000000BD + l_linenumber * 100000000000000000000BD"
-         " + cast(l_partkey as decimal(11,0)) * 1000000000BD + cast(round(l_extendedprice * 100) as decimal(9,0))")
+# The order of a bar's rows: day, order, line, extended price and quantity. Rows alike in all five have one price. A row
+# whose numbers fit is placed by one decimal (1 + 12 + 3 + 12 + 9 digits, amounts in hundredths as the tables define them): a
+# fixed-width aggregation buffer, so first and last price need no sort. Rows beyond are placed by the fields themselves in an
+# aggregation of their own. Which rows those are is said by bounds on columns, so files without any are skipped unread.
+FITS = ("l_orderkey between 0 and 999999999999 and l_linenumber between 0 and 999"
+        " and l_extendedprice between 0 and 9999999999.99D and l_quantity between 0.01D and 9999999.99D")
+BEYOND = ("l_orderkey < 0 or l_orderkey > 999999999999 or l_linenumber < 0 or l_linenumber > 999"
+          " or l_extendedprice < 0 or l_extendedprice > 9999999999.99D or l_quantity < 0 or l_quantity > 9999999.99D")
+PLACE = ("cast(datediff(l_shipdate, trunc(to_date(l_shipdate), 'week')) as decimal(1,0)) * 1000000000000000000000000000000000000BD"
+         " + cast(l_orderkey as decimal(12,0)) * 1000000000000000000000000BD + cast(l_linenumber as decimal(3,0)) * 1000000000000000000000BD"
+         " + cast(round(l_extendedprice * 100) as decimal(12,0)) * 1000000000BD + cast(round(l_quantity * 100) as decimal(9,0))")
+
+
+def _fields(place: str) -> str:
+    """A packed place as the struct that rows beyond the packing are placed by; NULL stays NULL."""
+    def digits(start, n, kind):
+        return f"cast(substring(lpad(cast({place} as string), 37, '0'), {start}, {n}) as {kind})"
+
+    return (f"if({place} is null, null, struct(date_add(trade_date, {digits(1, 1, 'int')}) as day, {digits(2, 12, 'bigint')} as l_orderkey,"
+            f" {digits(14, 3, 'int')} as l_linenumber, {digits(17, 12, 'double')} / 100 as l_extendedprice,"
+            f" {digits(29, 9, 'double')} / 100 as l_quantity))")
 
 
 def _raw_bars(spark, sf_dir, tickers=TICKERS, start=None, end=None) -> DataFrame:
@@ -32,19 +47,37 @@ def _raw_bars(spark, sf_dir, tickers=TICKERS, start=None, end=None) -> DataFrame
         lines = lines.where(F.col("l_shipdate") >= F.expr(f"trunc(date'{start}' + 6, 'week')").cast(lines.schema["l_shipdate"].dataType))
     if end is not None:
         lines = lines.where(F.col("l_shipdate") < F.expr(f"trunc(date'{end}', 'week') + 7").cast(lines.schema["l_shipdate"].dataType))
-    return (
+    return bars_of(lines, tickers)
+
+
+def bars_of(lines: DataFrame, tickers: int | None = TICKERS) -> DataFrame:
+    """Weekly bars of line items. A row without quantity has no price; rows without a part or date form a bar of their own."""
+    key = [f"l_partkey % {tickers} as ticker" if tickers else "l_partkey as ticker", "trunc(to_date(l_shipdate), 'week') as trade_date"]
+    usual = (
         lines
-        .selectExpr(f"l_partkey % {tickers} as ticker" if tickers else "l_partkey as ticker",
-                    "trunc(to_date(l_shipdate), 'week') as trade_date",
-                    "try_divide(l_extendedprice, l_quantity) as price", f"cast({PLACE} as decimal(38,0)) as place",
+        .selectExpr(*key, "try_divide(l_extendedprice, l_quantity) as price", f"if({FITS}, cast({PLACE} as decimal(38,0)), null) as place",
                     "l_quantity", "l_extendedprice", "l_discount", "l_tax")
         .groupBy("ticker", "trade_date")
         .agg(*map(F.expr, [
-            "min_by(price, place) as first_price", "max_by(price, place) as close_price",
+            "min(place) as first_place", "max(place) as last_place",
             "max(price) as highest_price", "min(price) as lowest_price",
             "sum(l_quantity) as qty", "sum(l_extendedprice) as val", "count(1) as deal_amount",
             "avg(l_discount) as disc", "avg(l_tax) as tax"]))
     )
+    beyond = (
+        lines.where(BEYOND).where("l_quantity != 0")
+        .selectExpr(*key, "struct(to_date(l_shipdate) as day, l_orderkey, l_linenumber, l_extendedprice, l_quantity) as row")
+        .groupBy("ticker", "trade_date").agg(F.min("row").alias("first_beyond"), F.max("row").alias("last_beyond"))
+    )
+
+    return (
+        usual.join(beyond, ["ticker", "trade_date"], "left")
+        .withColumns({"first": F.expr(f"least({_fields('first_place')}, first_beyond)"),
+                      "last": F.expr(f"greatest({_fields('last_place')}, last_beyond)")})
+        .selectExpr("ticker", "trade_date", "try_divide(first.l_extendedprice, first.l_quantity) as first_price",
+                    "try_divide(last.l_extendedprice, last.l_quantity) as close_price",
+                    "highest_price", "lowest_price", "qty", "val", "deal_amount", "disc", "tax")
+    )
 
 
 def bars(spark: SparkSession, sf_dir: str, tickers: int | None = TICKERS, start: str | None = None,
@@ -107,13 +140,17 @@ def fund_day(spark, sf_dir, start=None, end=None) -> DataFrame:
     return bars(spark, sf_dir, start=start, end=end).where(F.col("ticker") % 4 == 0)
 
 
-def trade_calendar(spark, sf_dir=None) -> DataFrame:
+def trade_calendar(spark, sf_dir) -> DataFrame:
     """Every calendar day of the bar period; Mondays are open, the last Monday of a month is its end."""
-    day = F.col("calendar_date")
+    return calendar_of(table(spark, sf_dir, "lineitem"))
+
+
+def calendar_of(lines: DataFrame) -> DataFrame:
+    """The days of all weeks from the first shipping date of ``lines`` to the last: none without a date."""
+    day, week = F.col("calendar_date"), F.trunc(F.to_date("l_shipdate"), "week")
     return (
-        spark.range(1)
-        .select(F.explode(F.sequence(F.lit(EPOCH).cast("date"), F.lit(CALENDAR_END).cast("date")))
-                .alias("calendar_date"))
+        lines.agg(F.min(week).alias("first"), F.max(week).alias("last"))
+        .select(F.explode(F.sequence("first", F.date_add("last", 6))).alias("calendar_date"))
         .select("calendar_date", F.lit("XSHG").alias("exchange_cd"),
                 (F.dayofweek(day) == 2).alias("is_open"),
                 ((F.dayofweek(day) == 2) & (F.month(F.date_add(day, 7)) != F.month(day))).alias("is_month_end"))

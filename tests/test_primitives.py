@@ -136,3 +136,28 @@ def test_scalars_give_null_instead_of_errors(spark):
         scalar.power(F.lit(0.0), -1.0), scalar.larger(F.lit(1.0), F.lit(None).cast("double")),
         scalar.finite(F.lit(float("nan")))).first()
     assert list(row) == [None] * 6
+
+
+@pytest.mark.parametrize("size", [1e-10, 1e-3, 1.0, 1e12, 1e200])
+def test_values_of_any_size_rank_apart_and_noise_ties(spark, size):
+    import datetime
+
+    values = [1, 2, 3, 4, 5, 6, 0.1 + 0.2, 0.3]
+    df = spark.createDataFrame([(i, datetime.date(2020, 1, 6), v * size) for i, v in enumerate(values)],
+                               "ticker long, trade_date date, x double")
+    got = [r.r for r in df.withColumn("r", xs.rank("x")).orderBy("ticker").collect()]
+    assert got == [3, 4, 5, 6, 7, 8, 1.5, 1.5]
+    line = df.withColumns({"trade_date": F.expr("date_add(trade_date, cast(ticker as int))"), "ticker": F.lit(0)})
+    ranks = line.withColumns({"r": ts.rank("x", 6), "top": ts.argmax("x", 6), "low": ts.argmin("x", 2)}).orderBy("trade_date").collect()
+    assert [r.r for r in ranks[5:]] == [6, 1, 1.5] and [r.top for r in ranks[5:]] == [6, 5, 4] and ranks[-1].low == 1
+
+
+def test_comparisons_by_the_size_of_the_operands(spark):
+    rows = [(1e-10, 2e-10), (0.1 + 0.2, 0.3), (1e12, 1e12 + 1e4), (0.0, 1e-30), (-1e-30, 0.0), (5.0, 5.0)]
+    df = spark.createDataFrame(rows, "a double, b double").select(
+        scalar.less("a", "b").alias("lt"), scalar.less("b", "a").alias("gt"), scalar.not_more("a", "b").alias("le"),
+        scalar.minus("b", "a").alias("d"), scalar.sign(F.col("a")).alias("s"))
+    got = df.collect()
+    assert [r.lt for r in got] == [True, False, True, True, True, False]
+    assert not any(r.gt for r in got) and all(r.le for r in got)
+    assert got[1].d == 0 and got[3].d == 1e-30 and [r.s for r in got] == [1, 1, 1, 0, -1, 1]
