@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import chain, islice
+from itertools import chain, compress, islice, repeat
 
 import numpy as np
 
@@ -36,17 +36,22 @@ class ChunkTable:
 
     def gather(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all chunks, one after the other, and how many ids each chunk has."""
-        new = list(set(chunks).difference(self.slots))
-        if new and len(self.slots) + len(new) > self.kept:
-            self._shrink(self.kept // 2)
-            new = list(set(chunks).difference(self.slots))
-        if new:
+        where = np.fromiter(map(self.slots.get, chunks, repeat(-1)), np.int32, len(chunks))
+        unknown = where < 0
+        if unknown.any():
+            missed = list(compress(chunks, unknown.tolist()))
+            new = list(dict.fromkeys(missed))
+            if len(self.slots) + len(new) > self.kept:
+                self._shrink(self.kept // 2)
+                unknown |= where >= len(self.slots)  # their places are gone
+                missed = list(compress(chunks, unknown.tolist()))
+                new = list(dict.fromkeys(missed))
             found, count = self.encode_many(new)
             self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(count, dtype=np.int32) - count.astype(np.int32)])
             self.count = np.concatenate([self.count, count.astype(np.int32)])
             self.ids = np.concatenate([self.ids, found])
             self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
-        where = np.fromiter(map(self.slots.__getitem__, chunks), np.int32, len(chunks))
+            where[unknown] = np.fromiter(map(self.slots.__getitem__, missed), np.int32, len(missed))
         count = self.count[where]
         first = np.repeat(self.at[where] - (np.cumsum(count, dtype=np.int32) - count), count)
         first += np.arange(len(first), dtype=np.int32)

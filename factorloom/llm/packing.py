@@ -17,6 +17,7 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 # fixed values: white space as the tokenizer's normaliser has it; Python's str.split knows four more
 MORE_SPACE = re.compile("[\x1c-\x1f]")
 WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!%*&$#|]*)")
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
+LINE = 2000  # plain words encoded as one text
 
 
 class Words:
@@ -51,14 +54,34 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
-        self.chunks, self.parts = ChunkTable(self._chunks, kept[0]), ChunkTable(self._library, kept[1])
+        self.chunks, self.parts = ChunkTable(self._chunks, kept[0]), ChunkTable(self._parts, kept[1])
         ends = [self.tokenizer.token_to_id(f"{end}</w>") for end in (".", "!", "?", "!!", "...", "。")]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[e for e in ends if e is not None]] = True
+        self.finals = np.zeros(len(self.ends), bool)
+        self.finals[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def _library(self, texts):
         return flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
+    def _parts(self, parts):
+        """Plain words are encoded many to a text, where each ends with a final piece; if not, one by one as all others."""
+        plain = [LETTERS.fullmatch(p) is not None for p in parts]
+        words = list(compress(parts, plain))
+        lines = [" ".join(words[at:at + LINE]) for at in range(0, len(words), LINE)]
+        ids, _ = self._library(lines)
+        ends = np.flatnonzero(self.finals[ids]) + 1
+        if not words or len(ends) != len(words) or ends[-1] != len(ids):
+            return self._library(parts)
+        others, other_count = self._library([p for p, ok in zip(parts, plain) if not ok])
+        plain = np.array(plain)
+        count = np.empty(len(parts), np.int64)
+        count[plain], count[~plain] = np.diff(ends, prepend=0), other_count
+        out = np.empty(len(ids) + len(others), np.int32)
+        mine = np.repeat(plain, count)
+        out[mine], out[~mine] = ids, others
+        return out, count
+
     def _chunks(self, chunks):
         """A plain word and the punctuation behind it are looked up apart, in lower case: the tokenizer splits there."""
         parts, pairs, match = [], [], WORD.fullmatch
@@ -96,17 +119,18 @@ def cut_points(doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int = WI
     Inner cuts are added only to stretches that no window could cross otherwise, or longer than a fourth of a window.
     """
     total = int(doc_ends[-1]) if len(doc_ends) else 0
-    soft = np.union1d(np.concatenate([[0], doc_ends]), sentence_ends)
+    # the penalty at every place of the stream; -1 where it is not cut
+    fine = np.full(total + 1, -1, np.int32)
+    fine[sentence_ends] = SENTENCE_CUT
+    fine[doc_ends] = 0
+    fine[0] = 0
+    soft = np.flatnonzero(fine >= 0)
     gap = np.diff(soft)
     stride = max(1, window // STRIDES)
-    inner = [np.arange(a + stride, a + g, stride) for a, g in zip(soft[:-1][gap > window // 4], gap[gap > window // 4])]
-    cuts = np.union1d(soft, np.concatenate(inner)) if inner else soft
-    penalty = np.full(len(cuts), SENTENCE_CUT, np.int64)
-    if inner:
-        penalty[~np.isin(cuts, soft)] = INNER_CUT
-    penalty[np.isin(cuts, doc_ends)] = 0
-    penalty[cuts == 0] = 0
-    return cuts[cuts <= total], penalty[cuts <= total]
+    for at in np.flatnonzero(gap > window // 4):
+        fine[soft[at] + stride:soft[at + 1]:stride] = INNER_CUT
+    cuts = np.flatnonzero(fine >= 0)
+    return cuts, fine[cuts].astype(np.int64)
 
 
 def plan(cuts: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> list[int]:
