@@ -3,8 +3,8 @@
 The texts become blocks of token numbers with a vocabulary of their own, so that only each block's distinct words, not its
 tokens, meet the corpus counts. The clustering is the exchange algorithm with words dealt out to tasks: a round counts, for
 each word, the classes before and after it, reduces these counts by word, and moves each word of one part of the
-vocabulary in turn to the class with the highest likelihood of the class bigrams. Rounds go on until a sweep over all
-parts no longer raises the likelihood. Blocks lie in a table bucketed by block: a round shuffles the words' classes and
+vocabulary in turn to the class with the highest likelihood of the class bigrams. Sweeps over all parts end when one no
+longer raises the likelihood, or after SWEEPS of them: a sweep reads all tokens, so their number is bounded. Blocks lie in a table bucketed by block: a round shuffles the words' classes and
 counts, never the tokens. What reaches the driver is classes times classes.
 
 All words seen twice or more are exchanged; their classes grow in number with the cube root of the vocabulary. Words seen
@@ -24,14 +24,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import parts_for, shared_folder, stored, whole_text
+from .common import discard, parts_for, shared_folder, stored, whole_text
 
 CLASSES = 32  # at least; a large vocabulary has more
 MIN_COUNT = 2
 BANDS = MIN_COUNT.bit_length() - 1  # classes of rarer words
 ALL = 1 + CLASSES + BANDS  # at least; the end of a text is class 0
-PARTS = 2  # parts of the vocabulary that move in turn, at first
+PARTS = 2  # parts of the vocabulary that move in turn
+SWEEPS = 2  # exchanges of each word at most
 TOLERANCE = 1e-3  # a sweep that raises the log likelihood of a token by less is the last
+OFTEN = 512  # contexts from which on a word moves on its own
+BATCH = 512  # words that move together, if rarer
 BLOCK_TOKENS = 6_000_000
 STEP = 500_000  # tokens of a block that are counted at once
 BLOCK_WORDS = 600_000
@@ -232,21 +235,27 @@ def _contexts(turn: int, parts: int, buckets: int, n_classes: int):
     return run
 
 
-def best_classes(own: np.ndarray, word: np.ndarray, k: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """The classes, 1 to the number of them in ``pairs``, after one exchange of each word in turn, the most frequent first; a word stays where it
+def _g(x):
+    return x * np.log(np.maximum(x, 1.0))
+
+
+def best_classes(own: np.ndarray, word: np.ndarray, k: np.ndarray, n: np.ndarray, pairs: np.ndarray, often: int = OFTEN,
+                 batch: int = BATCH) -> np.ndarray:
+    """The classes, 1 to the number of them in ``pairs``, after one exchange of each word, the most frequent first; a word stays where it
     is among equals.
 
     ``word`` (sorted), ``k``, ``n``: counts of the class before (k below the length of ``pairs``) or after (k less this
-    length) a word; ``pairs``: class bigrams. Each move changes this task's copy of the bigrams, so that words do not all run after the same class.
+    length) a word; ``pairs``: class bigrams. Moves change this task's copy of the bigrams, so that words do not all run
+    after the same class: at once for words with ``often`` contexts or more, after each ``batch`` of the others.
     """
-    def g(x):
-        return x * np.log(np.maximum(x, 1.0))
-
     own, pairs = own.copy(), pairs.astype(float)
     all_, size = len(pairs), pairs.sum(0)
     ends = np.searchsorted(word, np.arange(len(own) + 1))
     each = slice(1, all_ - BANDS)
-    for w in np.argsort(-np.bincount(word, n, minlength=len(own)), kind="stable").tolist():
+    total_of = np.bincount(word, n, minlength=len(own))
+    order = np.argsort(-total_of, kind="stable")
+    frequent = int((total_of >= often).sum())
+    for w in order[:frequent].tolist():
         at, count = k[ends[w]:ends[w + 1]], n[ends[w]:ends[w + 1]]
         first = np.searchsorted(at, all_)
         before, x, after, y = at[:first], count[:first], at[first:] - all_, count[first:]
@@ -255,7 +264,7 @@ def best_classes(own: np.ndarray, word: np.ndarray, k: np.ndarray, n: np.ndarray
         pairs[a, after] -= y
         size[a] -= total
         left, right, rest = np.maximum(pairs[before, each], 0), np.maximum(pairs[each, after], 0), np.maximum(size[each], 0)
-        gain = ((g(left + x[:, None]) - g(left)).sum(0) + (g(right + y) - g(right)).sum(1) - 2 * (g(rest + total) - g(rest)))
+        gain = ((_g(left + x[:, None]) - _g(left)).sum(0) + (_g(right + y) - _g(right)).sum(1) - 2 * (_g(rest + total) - _g(rest)))
         b = int(gain.argmax()) + 1
         if gain[a - 1] >= gain[b - 1] - 1e-9:
             b = a
@@ -263,6 +272,47 @@ def best_classes(own: np.ndarray, word: np.ndarray, k: np.ndarray, n: np.ndarray
         pairs[b, after] += y
         size[b] += total
         own[w] = b
+    share, at = size.sum() / 200, frequent
+    while at < len(own):
+        # those that move together hold little of the text, or they would all run after the same class
+        some = order[at:at + batch]
+        some = some[:max(1, int(np.searchsorted(np.cumsum(total_of[some]), share)))]
+        at += len(some)
+        some = some[ends[some + 1] > ends[some]]
+        if not len(some):
+            continue
+        width = ends[some + 1] - ends[some]
+        starts = np.cumsum(width) - width
+        cells = np.repeat(ends[some] - starts, width) + np.arange(width.sum())
+        context, count, row = k[cells], n[cells], np.repeat(np.arange(len(some)), width)
+        total = np.add.reduceat(np.where(context < all_, count, 0), starts)
+        a = own[some]
+        around = np.maximum(np.concatenate([pairs[:, each], pairs[each].T]), 0)  # bigrams by context and class
+        # cells with one context and count have one row of gains
+        kinds, kind = np.unique(context * (1 << 32) + count.astype(np.int64), return_inverse=True)
+        old, new = around[kinds >> 32], (kinds & (1 << 32) - 1)[:, None]
+        gain = np.add.reduceat((_g(old + new) - _g(old))[kind], starts, axis=0)
+        rest = np.maximum(size[each], 0)
+        gain -= 2 * (_g(rest + total[:, None]) - _g(rest))
+        # what a word's own class loses without it
+        held = around[context, a[row] - 1]
+        stay = np.add.reduceat(_g(held) - _g(np.maximum(held - count, 0)), starts)
+        stay -= 2 * (_g(rest[a - 1]) - _g(np.maximum(rest[a - 1] - total, 0)))
+        every = np.arange(len(some))
+        gain[every, a - 1] = stay
+        b = gain.argmax(1) + 1
+        moved = gain[every, b - 1] > stay + 1e-9
+        own[some[moved]] = b[moved]
+        np.add.at(size, a[moved], -total[moved])
+        np.add.at(size, b[moved], total[moved])
+        go = moved[row]
+        context, count, a, b = context[go], count[go], a[row[go]], b[row[go]]
+        left = context < all_
+        np.add.at(pairs, (context[left], a[left]), -count[left])
+        np.add.at(pairs, (context[left], b[left]), count[left])
+        after = context[~left] - all_
+        np.add.at(pairs, (a[~left], after), -count[~left])
+        np.add.at(pairs, (b[~left], after), count[~left])
     return own
 
 
@@ -387,29 +437,29 @@ def score(docs: DataFrame) -> DataFrame:
     classes = stored(classes.select("h", F.coalesce("start", spread).cast("long").alias("class")), "classes")
     own = classed(classes)
     pairs = _pairs(blocks, own, n_classes)
-    parts, busy = PARTS, sums["common"] > 0
-    while busy:
-        start, undone = likelihood(pairs), False
-        groups = parts_for(sums["common"], BUCKET_WORDS * parts)
-        for turn in range(parts):
+    groups = parts_for(sums["common"], BUCKET_WORDS * PARTS)
+    for _ in range(SWEEPS if sums["common"] else 0):
+        start = likelihood(pairs)
+        for turn in range(PARTS):
             moved = (blocks.where("not held_out").select("block", "ids", "lids", "hashes", "counts").groupBy("block")
                      .cogroup(own.groupBy("block"))
-                     .applyInPandas(_some(_contexts(turn, parts, groups, n_classes)),
+                     .applyInPandas(_some(_contexts(turn, PARTS, groups, n_classes)),
                                     "bucket long, h binary, own binary, width binary, k binary, n binary")
                      .groupBy("bucket").applyInPandas(_exchange(pairs), "h long, class long"))
-            still = classes.where(F.col("h").bitwiseAND(F.lit(parts - 1)) != turn)
+            still = classes.where(F.col("h").bitwiseAND(F.lit(PARTS - 1)) != turn)
             new = stored(still.union(moved), "classes")
             found = _pairs(blocks, classed(new), n_classes)
             # tasks do not see each other's moves: a round that lowers the likelihood is undone
             if likelihood(found) >= likelihood(pairs):
                 classes, own, pairs = new, classed(new), found
-            else:
-                undone = True
         if likelihood(pairs) - start <= TOLERANCE * total:
-            # fewer words at once, down to rounds of one task
-            busy, parts = undone and groups > 1, parts * 2
-    return (blocks.groupBy("block").cogroup(own.groupBy("block"))
-            .applyInPandas(_some(_scores(pairs, total)), RESULT))
+            break
+    scored = stored(blocks.groupBy("block").cogroup(own.groupBy("block"))
+                    .applyInPandas(_some(_scores(pairs, total)), RESULT), "scores")
+    for table in (name, f"{name}_words"):
+        spark.sql(f"drop table {table}")
+        discard(spark, f"{shared_folder(spark)}/{table}")
+    return scored
 
 
 def _some(function):

@@ -79,3 +79,48 @@ def test_words_seen_a_few_times_have_classes(spark):
     out = got[got.held_out]
     # log10(2) a token at most: a language has half of the words
     assert ((out.score - out.base_score) / out.n_tokens).mean() > 0.1
+
+
+def test_moves_together_raise_the_likelihood_like_moves_one_by_one():
+    rng = np.random.default_rng(7)
+    kinds = 6  # words of a kind follow words of the next kind
+    words_ = rng.integers(200, size=40_000) // kinds * kinds
+    words_ = words_ + np.arange(40_000) % kinds
+    n = int(words_.max()) + 1
+    own = rng.integers(1, lm.CLASSES + 1, n)
+
+    def run(often, batch):
+        now = own.copy()
+        for _ in range(3):
+            cls = now[words_]
+            pairs = np.zeros((lm.ALL, lm.ALL))
+            np.add.at(pairs, (np.append(0, cls[:-1]), cls), 1)
+            dense = np.zeros((n, 2 * lm.ALL))
+            np.add.at(dense, (words_, np.append(0, cls[:-1])), 1)
+            np.add.at(dense, (words_, lm.ALL + np.append(cls[1:], 0)), 1)
+            cell = np.flatnonzero(dense)
+            now = lm.best_classes(now, cell // (2 * lm.ALL), cell % (2 * lm.ALL), dense.ravel()[cell], pairs, often, batch)
+        cls = now[words_]
+        pairs = np.zeros((lm.ALL, lm.ALL))
+        np.add.at(pairs, (np.append(0, cls[:-1]), cls), 1)
+        return lm.likelihood(pairs)
+
+    start = run(10 ** 9, 1)
+    alone, together = run(0, 1), run(10 ** 9, 512)
+    assert together > alone - 0.05 * abs(alone) and abs(start - alone) < 0.05 * abs(alone)
+
+
+def test_scores_of_the_module_are_probabilities(spark):
+    """The score of a text is the sum of what the module gives its class steps and words, computed here once more."""
+    texts = ["a b a b c", "b a c a", "a a b", "c b a", "x y", "", None] * 9
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.score(df).collect()}
+    assert len(got) == len(texts)
+    same = {}
+    for i, text in enumerate(texts):
+        same.setdefault(text or "", set()).add(round(got[i].score, 9))
+    assert all(len(scores) == 1 for scores in same.values())  # equal texts have equal scores
+    # all texts of one token sum to less than 1: the end alone, each known word, and what is left for unknown words
+    assert 10 ** got[5].score < 1 and all(r.score < 0 for r in got.values())
+    mass = sum(10 ** s for s in (next(iter(same[t])) for t in same))
+    assert mass < 1
