@@ -53,15 +53,15 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def usable():
-    """Vectors that can link: finite, not zero, with an id and a label."""
+    """Vectors that can link: finite, not zero, with a label."""
     ok = F.forall("embedding", lambda v: v.isNotNull() & (F.abs(v.cast("double")) < float("inf")))
     some = F.exists("embedding", lambda v: v != 0)
-    return F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & ok & some, F.lit(False))
+    return F.coalesce(F.col("label").isNotNull() & ok & some, F.lit(False))
 
 
 def _deal(centroids: np.ndarray, threshold: float):
     reach = math.sqrt(1 - threshold * threshold) + 1e-9
-    gap = np.linalg.norm(centroids[:, None] - centroids[None], axis=2) if len(centroids) else np.zeros((0, 0))
+    gap = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 0))  # of unit centroids
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -115,21 +115,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     """One row per row of ``vectors``: vec_id, ``n_links``, ``component_id``, ``kept``.
 
     Rows link where their labels are equal and their cosine, in double precision, is at least ``threshold``. A row
-    without id, label or usable vector (null, empty, zero, with null or non-finite components) has no links and is its
-    own component; vectors of different lengths do not link. Rows that repeat a vector are linked with each other.
-    ``kept`` holds where the id is its component's least. Other columns are ignored, whatever their names.
+    without label or usable vector (null, empty, zero, with null or non-finite components) has no links and is its
+    own component; vectors of different lengths do not link. Rows that repeat a vector are linked with each other, rows
+    that share an id only if their vectors are. A row without id links like any other; a component without any id has none.
+    ``kept`` holds where the id is its component's least (null where both are). An empty table gives no rows. Other
+    columns are ignored, whatever their names.
     """
     base = vectors.select("vec_id", "label", "embedding", usable().alias("ok"))
     points = stored(base.where("ok").groupBy("label", "embedding").agg(
-        F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "points")
+        F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.monotonically_increasing_id()), "points")
     n = points.count()
     sample = hash_sample(points, F.xxhash64(F.lit(7), "node"), n, SAMPLE).select("embedding").toPandas()["embedding"]
     width = int(sample.map(len).mode()[0]) if len(sample) else 0
     sample = [v for v in sample if len(v) == width]
     centroids = spherical_kmeans(unit(sample), max(CELLS, math.ceil(n / CELL_ROWS))) if sample else np.zeros((0, 0))
-    kind = points.schema
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kind) + ", cell int, query boolean"
-    dealt = stored(points.mapInPandas(_deal(centroids, threshold), schema).withColumn("width", F.size("embedding")),
+    vectors_ = points.drop("vec_id")  # nodes are numbers of their own: ids may repeat or be missing
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors_.schema) + ", cell int, query boolean"
+    dealt = stored(vectors_.mapInPandas(_deal(centroids, threshold), schema).withColumn("width", F.size("embedding")),
                    "dealt")
     key = ["label", "width", "cell"]
     sizes = dealt.groupBy(*key).agg(F.count_if(~F.col("query")).alias("homes"), F.count(F.lit(1)).alias("all")).select(
@@ -151,9 +153,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = components(found.where("b is not null").select("a", "b"))
     nodes = (points.join(counts, "node", "left").join(roots, "node", "left")
-             .select("label", "embedding", "copies", F.coalesce("n", F.lit(0)).alias("n"),
+             .select("label", "embedding", "vec_id", "copies", F.coalesce("n", F.lit(0)).alias("n"),
                      F.coalesce("root", "node").alias("root")))
-    named = base.where("ok").join(nodes, ["label", "embedding"]).select(
-        "vec_id", (F.col("copies") - 1 + F.col("n")).alias("n_links"), F.col("root").alias("component_id"))
+    least = nodes.groupBy("root").agg(F.min("vec_id").alias("component_id"))
+    nodes = nodes.join(least, "root").select("label", "embedding", "component_id", (F.col("copies") - 1 + F.col("n")).alias("n_links"))
+    named = base.where("ok").join(nodes, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = base.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return named.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -55,7 +55,7 @@ def test_edges(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, n_links string").selectExpr(
         "*", "'x' as cell", "'x' as query", "'x' as node", "'x' as copies")
     got = sorted((r.vec_id or 0, r.n_links, r.component_id) for r in v.near_duplicates(df).collect())
-    assert got == [(0, 0, None), (1, 3, 1), (2, 3, 1), (2, 3, 1), *[(i, 0, i) for i in range(3, 12)], (12, 3, 1)]
+    assert got == [(0, 4, 1), (1, 4, 1), (2, 4, 1), (2, 4, 1), *[(i, 0, i) for i in range(3, 12)], (12, 4, 1)]
     assert v.near_duplicates(df.where("false")).count() == 0
 
 
@@ -65,3 +65,28 @@ def test_centroids_are_unit_and_assign_all():
     assert c.shape == (5, 8) and np.allclose(np.linalg.norm(c, axis=1), 1)
     assert (x @ c.T).max(1).mean() > 0.4
     assert len(v.spherical_kmeans(np.repeat(x[:1], 9, 0), 5)) == 1
+
+
+def test_repeated_and_missing_ids(spark):
+    rows = [(1, [1.0, 0.0], "a"), (2, [1.0, 0.01], "a"), (2, [0.0, 1.0], "b"), (3, [0.01, 1.0], "b"), (2, [0.0, -1.0], "a"),
+            (None, [5.0, 5.0], "c"), (None, [5.0, 5.1], "c"), (None, [1.0, 0.02], "a"), (None, [-1.0, 0.0], "d"), (9, [-1.0, -0.01], "d")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    got = sorted(((r.vec_id or 0, r.n_links, r.component_id or 0) for r in v.near_duplicates(df).collect()))
+    assert got == sorted([(1, 2, 1), (2, 2, 1), (2, 1, 2), (3, 1, 2), (2, 0, 2), (0, 1, 0), (0, 1, 0), (0, 2, 1), (0, 1, 9), (9, 1, 9)])
+
+
+def test_random_repeated_ids_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 4))
+    rows = [(int(rng.integers(1, 30)) if rng.random() > 0.1 else None, (centres[rng.integers(12)] + rng.normal(size=4) * 0.2).tolist(),
+             int(rng.integers(2))) for _ in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    linked = (x @ x.T >= v.THRESHOLD) & (np.array([r[2] for r in rows])[:, None] == np.array([r[2] for r in rows])[None])
+    roots = components(len(rows), [(int(i), int(j)) for i, j in zip(*np.nonzero(linked)) if i < j])
+    least = {}
+    for r, root in zip(rows, roots):
+        least[root] = min([i for i in (least.get(root), r[0]) if i is not None], default=None)
+    want = sorted((r[0] or 0, int(n) - 1, least[root] or 0) for r, root, n in zip(rows, roots, linked.sum(1)))
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0) for r in v.near_duplicates(df).collect()) == want
