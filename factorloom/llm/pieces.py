@@ -21,6 +21,7 @@ from .chunks import ChunkTable, flat
 from .common import text_groups, whole_text
 
 SPACE = "▁"
+UNKNOWN = " ⁇ ".encode()  # what an unknown piece decodes to
 SCHEMA = "doc_id long, ids array<int>, starts array<int>, stops array<int>, decoded string"
 
 
@@ -102,6 +103,12 @@ class Model:
         names = [p.get(1, b"").decode() for p in pieces]
         self.width = np.array([len(n.encode()) for n in names], np.int32)
         self.byte = np.array([int(n[3:5], 16) if k == 6 else -1 for n, k in zip(names, kinds)], np.int32)
+        # the bytes that each id stands for, one after the other; control pieces stand for none
+        shown = [bytes([b]) if b >= 0 else b"" if k == 3 else UNKNOWN if k == 2 else n.encode()
+                 for n, k, b in zip(names, kinds, self.byte.tolist())]
+        self.shown = np.frombuffer(b"".join(shown), np.uint8)
+        self.shown_size = np.array([len(x) for x in shown], np.int64)
+        self.shown_at = np.cumsum(self.shown_size) - self.shown_size
         # no piece has a space after something else: then a chunk ends before each run of spaces
         crossing = any(SPACE in n.lstrip(SPACE) for n, k in zip(names, kinds) if k in (1, 5))
         self.chunk = re.compile("(?s:.+)" if crossing or not self.escape else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -159,24 +166,38 @@ class Model:
         width[lead + size - 1] = size
         return width
 
+    def decode(self, ids: np.ndarray, count: np.ndarray) -> list[str]:
+        """The texts of ids, ``count`` of them each: their bytes, marks as spaces, without the space that was put first."""
+        size = self.shown_size[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        where = np.repeat(self.shown_at[ids] - ends[:-1], size)
+        where += np.arange(len(where))
+        raw = self.shown[where].tobytes()
+        bounds = ends[np.cumsum(np.concatenate([[0], count]))].tolist()
+        mark, out = SPACE if self.escape else " ", []
+        for a, b in zip(bounds, bounds[1:]):
+            text = raw[a:b].decode(errors="replace")
+            if self.dummy and text.startswith(mark):
+                text = text[1:]
+            out.append(text.replace(SPACE, " ") if self.escape else text)
+        return out
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
-        """Number of ids of each text; of all of them the ids and their first and last (exclusive) original bytes; the
-        texts that the ids decode to."""
+        """Number of ids of each text; of all of them the ids and their first and last (exclusive) original bytes; what the
+        ids decode to."""
         normal = [self.normalize(t) for t in texts]
         names = [self.chunk.findall(n) for n, _ in normal]
         ids, count = self.chunks.gather([c for n in names for c in n])
         of_chunk = np.concatenate([[0], np.cumsum(count)])
         ends = of_chunk[np.cumsum([0, *map(len, names)])]
         width = self.widths(ids)
-        starts, stops, decoded = [], [], []
+        starts, stops = [], []
         for (text, origin), first, last in zip(normal, ends, ends[1:]):
             to = np.concatenate([[0], np.cumsum(width[first:last])])
             origin = marked_origin(text, self.dummy) if origin is None else origin
             starts.append(origin[to[:-1]])
             stops.append(origin[to[1:]])
-            text = text[1:] if self.dummy else text
-            decoded.append(text.replace(SPACE, " ") if self.escape else text)
-        return np.diff(ends), ids, np.concatenate(starts), np.concatenate(stops), decoded
+        return np.diff(ends), ids, np.concatenate(starts), np.concatenate(stops), self.decode(ids, np.diff(ends))
 
 
 def marked_origin(normal: str, dummy: bool) -> np.ndarray:
@@ -205,7 +226,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     ``decoded`` is the text that the ids decode to. The bytes of a character that fell back to byte pieces share its
     span: all but the last are empty spans at its start. A null text counts as empty and has no ids. Every row is
     encoded by itself, so repeated rows and null ids give as many result rows; other columns are ignored, whatever their
-    names. ``model_path`` must exist on every executor.
+    names. An empty table gives no rows; texts of any length are encoded whole. ``model_path`` must exist on every executor.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -67,3 +68,19 @@ def test_edges(edge, nothing):
     assert len(got) == edge.count()
     assert got[got.doc_id.isin([3, 4])].n_tokens.tolist() == [0, 0]
     assert p.encode(nothing, PATH).count() == 0
+
+
+def test_decoding_reads_the_ids():
+    m, library = p.model(PATH), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    texts = ["Two words", "", " lead", "é漢字🙂 x", "a\u2581b", "tab\tand\nline  two"]
+    count, ids, _, _, decoded = m.encode(texts)
+    lists = np.split(ids, np.cumsum(count)[:-1])
+    assert decoded == [library.decode(x.tolist()) for x in lists]
+    wrong = ids.copy()
+    wrong[0] = (wrong[0] + 1) % len(m.width)
+    assert m.decode(wrong, count)[0] != decoded[0] and m.decode(wrong, count)[1:] == decoded[1:]
+    rng = np.random.default_rng(2)
+    plain = np.flatnonzero((m.byte < 0) & (m.shown_size > 0))
+    for _ in range(30):
+        some = rng.choice(plain, 12)
+        assert m.decode(some, np.array([12])) == [library.decode(some.tolist())]
