@@ -6,7 +6,7 @@ from functools import partial
 
 from ..factors import alpha101, gtja191
 from ..factors.staging import attach
-from ..functions import xs
+from ..functions import spread, xs
 from ..operators import joins, ranking
 from ..sources import driver_tables as d
 from . import alpha101_sql, gtja191_sql
@@ -44,7 +44,11 @@ def _top(spark, sf_dir):
 
 
 def _neutral(spark, sf_dir):
-    return tidy(xs.neutralize(d.traded(spark, sf_dir, None), "turnover_rate", "value").select("ticker", "trade_date", "value"))
+    return tidy(spread.neutralize(d.traded(spark, sf_dir, None), "turnover_rate", "value").select("ticker", "trade_date", "value"))
+
+
+def _ranked(spark, sf_dir):
+    return tidy(spread.rank_pct(d.traded(spark, sf_dir, None), "turnover_vol", "value").select("ticker", "trade_date", "value"))
 
 
 def _as_of(spark, sf_dir):
@@ -52,7 +56,7 @@ def _as_of(spark, sf_dir):
     return tidy(joins.fundamentals_as_of(panel, d.ps_pit(spark, sf_dir, None), ["end_date", "basic_eps"]))
 
 
-QUERIES |= {"universe_bars": _bars, "universe_top10": _top, "universe_neutralize": _neutral, "universe_as_of": _as_of}
+QUERIES |= {"universe_x01_rank_pct": _ranked, "universe_bars": _bars, "universe_top10": _top, "universe_neutralize": _neutral, "universe_as_of": _as_of}
 ORACLES |= {name: _every_part(sql) for name, sql in {
     "universe_bars": with_traded(f"select ticker, trade_date, {out('open_price')} as open_price, {out('close_price')} as"
                                  f" close_price, {out('turnover_vol')} as turnover_vol from bars"),
