@@ -38,18 +38,6 @@ def _(spark, sf):
     return choice_files.read_choices(spark, path).select("ticker", "industry", "buy_date", "sale_date", "buy_price")
 
 
-def _pack(pdf):
-    """One ticker's bars as the content of a day file."""
-    import numpy as np
-    import pandas as pd
-
-    pdf = pdf.sort_values("day")
-    rows = np.zeros(len(pdf), "<u4,<u4,<u4,<u4,<u4,<f4,<u4,<u4")
-    for i, c in enumerate(("day", "open", "high", "low", "close", "amount", "vol")):
-        rows[f"f{i}"] = pdf[c].to_numpy()
-    return pd.DataFrame({"path": [f"sh{pdf['ticker'].iloc[0]}.day"], "content": [rows.tobytes()]})
-
-
 _CENTS = "round_even({0} * 100, 0) / 100.0::double"
 _CHANGE = "coalesce(round_even((c - p) / nullif(p, 0) * 100, 2), 0)"
 
@@ -62,12 +50,13 @@ _CHANGE = "coalesce(round_even((c - p) / nullif(p, 0) * 100, 2), 0)"
 def _(spark, sf):
     cents = {"open": "open_price", "high": "highest_price", "low": "lowest_price", "close": "close_price"}
     rows = d.traded(spark, sf).select(
-        "ticker", F.date_format("trade_date", "yyyyMMdd").cast("long").alias("day"),
+        F.col("ticker").cast("string").alias("ticker"), F.date_format("trade_date", "yyyyMMdd").cast("long").alias("day"),
         *[F.rint(F.col(c) * 100).cast("long").alias(n) for n, c in cents.items()],
         F.col("turnover_value").alias("amount"), F.col("turnover_vol").cast("long").alias("vol"))
-    packed = m.per_group(rows, "ticker", _pack, "path string, content binary")
-    return day_files.decode(packed).select("ticker", "trade_date", "open_price", "close_price", "turnover_value",
-                                           "turnover_vol", "chg_pct")
+    path = scratch.folder(spark, "days")
+    day_files.write_day_files(rows, path)
+    return day_files.read_day_files(spark, path).select(
+        "ticker", "trade_date", "open_price", "close_price", "turnover_value", "turnover_vol", "chg_pct")
 
 
 @add("s10_metric_store", f"select ticker, trade_date, {out(f'avg(close_price) {w(5)}')} as ma5 from traded")

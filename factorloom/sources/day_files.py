@@ -22,8 +22,10 @@ def _decode(batches):
     layout = np.dtype([("day", "<u4"), ("open", "<u4"), ("high", "<u4"), ("low", "<u4"), ("close", "<u4"),
                        ("amount", "<f4"), ("vol", "<u4"), ("unused", "<u4")])
     for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-            name = path.rsplit("/", 1)[-1].split(".")[0]
+        named = "ticker" in batch.schema.names
+        names = batch.column("ticker" if named else "path").to_pylist()
+        for name, content in zip(names, batch.column("content").to_pylist()):
+            name = name if named else name.rsplit("/", 1)[-1].split(".")[0]
             rows = np.frombuffer(content, layout, count=len(content) // RECORD)
             day = rows["day"].astype("int64")
             months = (day // 10000 - 1970) * 12 + day // 100 % 100 - 1
@@ -36,16 +38,38 @@ def _decode(batches):
                 names=[f.split()[0] for f in SCHEMA.split(", ")])
 
 
+def _pack(rows):
+    """The bars of a ticker and year as the content of a day file."""
+    import numpy as np
+    import pandas as pd
+
+    rows = rows.sort_values("day")
+    records = np.zeros(len(rows), "<u4,<u4,<u4,<u4,<u4,<f4,<u4,<u4")
+    for i, c in enumerate(("day", "open", "high", "low", "close", "amount", "vol")):
+        records[f"f{i}"] = rows[c].to_numpy()
+    return pd.DataFrame({"content": [records.tobytes()], "ticker": [rows["ticker"].iloc[0]], "year": [rows["day"].iloc[0] // 10000]})
+
+
+def write_day_files(bars: DataFrame, path: str) -> None:
+    """Day files of ``bars`` (ticker, day as yyyymmdd, prices in cents, amount, vol) in one job: one for a ticker and
+    year, so that neither a group nor a file holds a whole history. Bytes behind the last whole record are not read."""
+    year = F.floor(F.col("day") / 10000).alias("year")
+    packed = bars.groupBy("ticker", year).applyInPandas(_pack, "content binary, ticker string, year int")
+    # a text file's rows are written byte by byte
+    packed.select(F.col("content").cast("string").alias("value"), "ticker", "year").write.partitionBy("ticker", "year").text(path)
+
+
 def read_day_files(spark: SparkSession, path: str) -> DataFrame:
-    """Bars of all files under a path (one ticker per file, named by it), with the change in percent.
+    """Bars of all files under a path, with the change in percent carried from file to file.
 
-    A file holds one ticker's days, a few hundred kilobytes for decades, so a file is a fit unit of work.
+    A file's ticker is its folder's (as ``write_day_files`` has them) or else its name.
     """
-    return decode(spark.read.format("binaryFile").load(path).select("path", "content"))
+    files = spark.read.format("binaryFile").load(path)
+    return decode(files.select("path", "content", *[F.col(c).cast("string") for c in files.columns if c == "ticker"]))
 
 
 def decode(files: DataFrame) -> DataFrame:
-    """Bars from (path, content) rows."""
+    """Bars from (path, content) rows, and the ticker if there is such a column."""
     return percent_change(files.mapInArrow(_decode, SCHEMA), "chg_pct")
 
 

@@ -92,3 +92,16 @@ def test_empty_sources_are_errors(spark, tmp_path):
 def test_nan_becomes_null(spark):
     df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "x double, n int")
     assert [r.x for r in readers.no_nan(df).collect()] == [None, 2.0]
+
+
+def test_day_files_of_years_and_by_name(spark, tmp_path):
+    rows = [("12", 20201228, 100, 120, 90, 110, 5.0, 7), ("12", 20210104, 110, 130, 100, 121, 6.0, 8), ("7", 20210104, 1, 1, 1, 1, 0.0, 0),
+            *[("9", 20000101 + i, 10, 10, 10, 10 + i, 1.0, 0xffffffff) for i in range(28)]]
+    df = spark.createDataFrame(rows, "ticker string, day long, open long, high long, low long, close long, amount double, vol long")
+    day_files.write_day_files(df.repartition(3), str(tmp_path / "days"))
+    got = day_files.read_day_files(spark, str(tmp_path / "days")).orderBy("ticker", "trade_date").collect()
+    assert len(got) == len(rows) and [r.close_price for r in got if r.ticker == "12"] == [1.1, 1.21]
+    assert [r.chg_pct for r in got if r.ticker == "12"] == [0.0, 10.0]  # the change crosses from one file to the next
+    assert {r.turnover_vol for r in got if r.ticker == "9"} == {0xffffffff}
+    files = {str(f.parent.relative_to(tmp_path / "days")) for f in (tmp_path / "days").rglob("*.txt")}
+    assert files == {"ticker=12/year=2020", "ticker=12/year=2021", "ticker=7/year=2021", "ticker=9/year=2000"}
