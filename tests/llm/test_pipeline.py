@@ -53,4 +53,4 @@ def test_stages_on_edges(spark, edge, nothing):
 
 def test_registered(spark):
     names = [n for n in entry.queries() if n.startswith("op") and "_" in n]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
