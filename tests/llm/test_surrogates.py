@@ -24,7 +24,7 @@ def test_types_formats_and_coreference(spark):
 
 def test_collisions_are_drawn_again(spark):
     forms = [("ssn", f"{i:02d}") for i in range(40)]  # 40 of 100 two-digit numbers: many collide
-    got = s.assign(spark.createDataFrame(forms, "kind string, form string"), KEY).toPandas()
+    got = s.assign(spark.createDataFrame([(*f, "ssn") for f in forms], "type string, form string, kind string"), KEY).toPandas()
     assert len(got) == 40 and got.surrogate.is_unique and not set(got.surrogate) & {f for _, f in forms}
 
 
@@ -42,3 +42,46 @@ def test_edges(edge, nothing):
     assert out.columns == [*edge.columns, "entities_"] and out.count() == edge.count()
     assert out.where("text is null").count() == 2
     assert s.replace(nothing, KEY).count() == 0
+
+
+def test_mentions_without_a_title(spark):
+    text = ("Mr. John Smith came. John Smith said hello; Smith's car left. Dr John Smith, smith@x.org and the Smith-Jones. "
+            "Dr. The patient. The end of the walls. Mr White and White met. White walls are white")
+    other = "John Smith stays where no title says that it is a name"
+    docs = spark.createDataFrame([(1, text), (2, other), (3, "Mrs SMITH and Mr Smith")], "doc_id long, text string")
+    new = {r.doc_id: r for r in s.replace(docs, KEY).collect()}
+    got = new[1].text
+    assert "John" not in got and "Smith" not in got and "SMITH" not in new[3].text and new[2].text == other
+    first, last = got.split()[1], got.split()[2]
+    first, last = first.strip("."), last.strip(".")
+    assert got.count(first) == 3 and got.count(last) == 5 and new[3].text == f"Mrs {last.upper()} and Mr {last}"
+    assert f"{last}'s car" in got and f"the {last}-Jones" in got
+    assert "The end of the walls" in got and "White walls are white" in got  # sentence starts of common words
+    assert "White" not in got.replace("White walls", "")
+
+
+def test_gender_of_all_mentions(spark):
+    rows = [("name", "john", "given_m"), ("name", "john", "given_u"), ("name", "john", "surname"), ("name", "anna", "given_f"),
+            ("name", "kim", "given_f"), ("name", "kim", "given_m"), ("name", "holm", "surname")]
+    got = {r.form: r.surrogate for r in s.assign(spark.createDataFrame(rows, "type string, form string, kind string"), KEY).collect()}
+    drawn = {f: {s.surrogate(KEY, "name_" + g, f, a) for a in range(8)} for f, g in
+             (("john", "m"), ("anna", "f"), ("kim", "u"), ("holm", "u"))}
+    assert got.keys() == drawn.keys() and all(got[f] in drawn[f] for f in got)
+
+
+def test_crowded_types_come_to_an_end(spark, monkeypatch):
+    monkeypatch.setattr(s, "CROWDED", 3)
+    rows = [("email", f"{a}@{b}.com", "email") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [("ip", f"192.168.{a}.{b}", "ip") for a in range(0, 256, 2) for b in range(1, 256, 8)]
+    got = s.assign(spark.createDataFrame(rows, "type string, form string, kind string"), KEY).toPandas()
+    assert len(got) == len(rows) and got.surrogate.is_unique and not set(got.surrogate) & {r[1] for r in rows}
+    assert all(s.find(x)[0][2] == t for t, x in zip(got.type, got.surrogate))
+
+
+def test_texts_passed_by_hold_nothing(documents, rows):
+    import re
+    for text in [*rows.text, "1.2.3.4", "123-45-6789", "4111 1111 1111 1111", "4111111111111", "a@b.org", "(030) 123 4567",
+                 "+49 30 1234", "555-123-4567", "Dr X Ab", "Сказал Господин Иванов"]:
+        assert not s.find(text) or re.search(s.MAYBE, text)
+    java = documents.sparkSession.createDataFrame([(t,) for t in rows.text], "text string")
+    assert java.where(java.text.rlike(s.MAYBE)).count() == sum(bool(re.search(s.MAYBE, t)) for t in rows.text)
