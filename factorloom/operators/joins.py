@@ -48,25 +48,40 @@ def latest_per_ticker(fundamentals: DataFrame) -> DataFrame:
 
 
 def as_of(left: DataFrame, right: DataFrame, right_time: Column, values: list[str], key="ticker",
-          left_time="trade_date", order: list[str] | None = None) -> DataFrame:
+          left_time="trade_date", order: list[str] | None = None, days=366) -> DataFrame:
     """For every left row the values of the newest right row at or before its time, NULL if there is none.
 
     The right side is first reduced to one row per key and time (the largest by ``order``, then by the values), with a
-    map-side maximum, so that copies cost nothing later. Then both sides are stacked and sorted once per key, and the
-    last right row seen is carried forward: one exchange and one sort, without the row blow-up of a range join.
+    map-side maximum, so that copies cost nothing later. A key's history is cut into ranges of so many ``days``. Both
+    sides are stacked and sorted once per key and range, and the last right row seen is carried forward; what a range
+    begins with comes from a second, small scan over the ranges' last right rows. So a key that holds most rows runs in
+    as many tasks as it has ranges, and the left rows are exchanged once, without the row blow-up of a range join. Rows
+    without a key or time match nothing. ``left`` is read twice, the second time for its keys and times alone.
     """
+    def span(time):
+        return F.floor(F.datediff(time, F.lit("1970-01-01").cast("date")) / F.lit(days))
+
     own = left.columns
-    newest = (right.groupBy(F.col(key), right_time.alias("_t"))
-              .agg(F.max(F.struct(*(order or []), *[v for v in values if v not in (order or [])])).alias("_value")))
+    newest = (right.where(F.col(key).isNotNull() & right_time.isNotNull()).groupBy(F.col(key), right_time.alias("_t"))
+              .agg(F.max(F.struct(*(order or []), *[v for v in values if v not in (order or [])])).alias("_value"))
+              .withColumn("_span", span("_t")))
     empty = F.lit(None).cast(newest.schema["_value"].dataType)
-    stacked = left.select(*own, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), empty.alias("_value"))
+
+    stacked = left.select(*own, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), empty.alias("_value"),
+                          span(left_time).alias("_span"))
     other = newest.select(
         *[F.col(c) if c == key else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in own],
-        "_t", F.lit(0).alias("_side"), "_value")
-    w = Window.partitionBy(key).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    return (stacked.unionByName(other)
-            .withColumn("_value", F.last("_value", ignorenulls=True).over(w))
-            .where("_side = 1")
+        "_t", F.lit(0).alias("_side"), "_value", "_span")
+    w = Window.partitionBy(key, "_span").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    within = stacked.unionByName(other).withColumn("_value", F.last("_value", ignorenulls=True).over(w)).where("_side = 1")
+
+    ends = newest.groupBy(key, "_span").agg(F.max(F.struct("_t", "_value")).alias("_last"))
+    starts = left.select(key, span(left_time).alias("_span")).distinct()
+    spans = Window.partitionBy(key).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    before = (ends.join(starts.withColumn("_asked", F.lit(True)), [key, "_span"], "full")
+              .withColumn("_before", F.last("_last", ignorenulls=True).over(spans)["_value"])
+              .where("_asked and _before is not null").select(key, "_span", "_before"))
+    return (within.join(before, [key, "_span"], "left").withColumn("_value", F.coalesce("_value", "_before"))
             .select(*own, *[F.col(f"_value.{v}").alias(v) for v in values]))
 
 

@@ -237,7 +237,7 @@ ORACLES["u01_registry"] = (f"with {TRADED}\nselect ticker, trade_date, {out('1 /
 
 
 def _attach(spark, sf_dir):
-    bars = d.bars(spark, sf_dir)
+    bars = d.bars_once(spark, sf_dir)
     stored = m.ma_any(bars.where("open_price > 0"), "ma5", 5, "close_price").select("ticker", "trade_date", "ma5")
     return tidy(attach_metric(bars, stored).select("ticker", "trade_date", "ma5"))
 

@@ -10,6 +10,7 @@ from ..operators import filters, portfolio, ranking
 from ..operators import metrics as m
 from ..operators.ranking import RankFactor
 from ..sources import driver_tables as d
+from ..sources.scratch import written
 from .common import tidy
 from .metrics import EQUITY, HFQ, w
 from .relational import CALENDAR, CHOICE
@@ -34,6 +35,10 @@ def _signals(spark, sf, prices=False):
     full = m.back_adjust(d.bars(spark, sf))
     if prices:
         full = portfolio.last_traded_price(full)
+    return _signals_of(full)
+
+
+def _signals_of(full):
     return m.bias(filters.drop_suspended(full), "bias6", 6)
 
 
@@ -92,9 +97,10 @@ part as (select s.* from sig s where ticker in (select ticker from equity where
     or exists (select 1 from choice c where c.ticker = s.ticker and c.sale_date = s.trade_date))"""
      + ranked_ctes("part"))
 def _(spark, sf):
-    bars = _signals(spark, sf)
+    panel = d.bars_once(spark, sf)
+    bars = written(_signals_of(m.back_adjust(panel)), "signals")
     pool = filters.in_pool(bars, filters.instruments(d.equity(spark, sf), sectors=["1", "2"]))
-    held = d.choice(spark, sf).select("ticker", F.col("sale_date").alias("trade_date"))
+    held = d.choice_of(panel).select("ticker", F.col("sale_date").alias("trade_date"))
     return ranking.daily_choice(pool, held, bars, FACTORS).select(*RANK_COLUMNS)
 
 
@@ -294,6 +300,7 @@ def _(spark, sf):
      " left join bars b on b.ticker = c.ticker and b.trade_date = c.trade_date"
      " left join bars s on s.ticker = c.ticker and s.trade_date = c.sale_date", CHOICE)
 def _(spark, sf):
-    trades = d.choice(spark, sf).withColumnRenamed("trade_date", "buy_date")
-    return portfolio.export_ledger(trades, d.bars(spark, sf)).select(
+    bars = d.bars_once(spark, sf)
+    trades = d.choice_of(bars).withColumnRenamed("trade_date", "buy_date")
+    return portfolio.export_ledger(trades, bars).select(
         "ticker", "buy_date", "sale_date", "buy_close", "sale_close", "chg_pct", "price_matches")

@@ -282,7 +282,7 @@ def _(spark, sf):
      " left join lateral (select end_date, e from ps where ps.ticker = t.ticker and ps.pub <= t.trade_date"
      " order by pub desc, end_date desc limit 1) p on true", PS)
 def _(spark, sf):
-    panel = d.traded(spark, sf).select("ticker", "trade_date")
+    panel = d.bars_once(spark, sf).where("open_price > 0").select("ticker", "trade_date")
     return joins.fundamentals_as_of(panel, d.ps_pit(spark, sf), ["end_date", "basic_eps"])
 
 
@@ -318,8 +318,9 @@ def _(spark, sf):
      " as sale_days from traded t left join choice c on c.ticker = t.ticker and c.sale_date <= t.trade_date"
      " group by t.ticker, t.trade_date", CHOICE)
 def _(spark, sf):
-    return joins.with_sale_days(d.traded(spark, sf).select("ticker", "trade_date"),
-                                d.choice(spark, sf).select("ticker", "sale_date"))
+    bars = d.bars_once(spark, sf)
+    return joins.with_sale_days(bars.where("open_price > 0").select("ticker", "trade_date"),
+                                d.choice_of(bars).select("ticker", "sale_date"))
 
 
 @add("b20_choice_enrichment", f"select c.ticker, c.trade_date, {out('t.close_price')} as close_price, p.n as"
@@ -328,8 +329,9 @@ def _(spark, sf):
      " left join (select trade_date, count(*) as n from traded group by 1) p using (trade_date)"
      " left join latest l on l.ticker = c.ticker", CHOICE + _LATEST)
 def _(spark, sf):
-    unique = choices.dedup(d.choice(spark, sf), ["sale_date", "buy_price"])
-    return choices.enrich(unique, d.traded(spark, sf), d.ps_pit(spark, sf)).select(
+    bars = d.bars_once(spark, sf)
+    unique = choices.dedup(d.choice_of(bars), ["sale_date", "buy_price"])
+    return choices.enrich(unique, bars.where("open_price > 0"), d.ps_pit(spark, sf)).select(
         "ticker", "trade_date", "close_price", "select_equ_count", "end_date", "basic_eps", "fcf_fps")
 
 

@@ -52,7 +52,7 @@ def _ranked(spark, sf_dir):
 
 
 def _as_of(spark, sf_dir):
-    panel = d.traded(spark, sf_dir, None).select("ticker", "trade_date")
+    panel = d.bars_once(spark, sf_dir, None).where("open_price > 0").select("ticker", "trade_date")
     return tidy(joins.fundamentals_as_of(panel, d.ps_pit(spark, sf_dir, None), ["end_date", "basic_eps"]))
 
 

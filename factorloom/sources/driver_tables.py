@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 EPOCH = "1995-01-02"
 TICKERS = 24
 
@@ -111,6 +113,11 @@ def bars(spark: SparkSession, sf_dir: str, tickers: int | None = TICKERS, start:
     )
 
 
+def bars_once(spark: SparkSession, sf_dir: str, tickers: int | None = TICKERS) -> DataFrame:
+    """The bars built once and written to the shared folder, for plans that use them several times."""
+    return written(bars(spark, sf_dir, tickers), "bars")
+
+
 def traded(spark: SparkSession, sf_dir: str, tickers: int | None = TICKERS) -> DataFrame:
     return bars(spark, sf_dir, tickers).where("open_price > 0")
 
@@ -201,8 +208,12 @@ def benchmark(spark, sf_dir) -> DataFrame:
 
 def choice(spark, sf_dir) -> DataFrame:
     """A choice list taken from the bars, one row of it duplicated."""
+    return choice_of(bars(spark, sf_dir))
+
+
+def choice_of(panel: DataFrame) -> DataFrame:
     picked = (
-        bars(spark, sf_dir)
+        panel
         .where("(ticker * 13 + wk) % 97 = 0")
         .select("ticker", "trade_date", F.date_add("trade_date", 21).alias("sale_date"),
                 F.col("close_price").alias("buy_price"), "wk")

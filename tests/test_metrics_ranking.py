@@ -76,6 +76,26 @@ def test_as_of_takes_the_newest_on_or_before(spark):
     assert days == [100000, 100000, 0, 1, 2, 0, 1]
 
 
+@pytest.mark.parametrize("days", [1, 7, 30, 5000])
+def test_as_of_over_ranges_of_a_hot_key(spark, days):
+    """The cut of a key's history changes no row; rows without key or time match nothing."""
+    import random
+
+    rng, first = random.Random(days), datetime.date(1969, 11, 20)
+    at = lambda n: first + datetime.timedelta(days=rng.randrange(n))
+    left = [(rng.choice([1, 1, 1, 2, 3, None]), rng.choice([at(200), at(200), None]) if i % 9 == 0 else at(200), i) for i in range(300)]
+    right = [(rng.choice([1, 1, 2, 4, None]), None if i % 11 == 0 else at(150), rng.choice([None, float(i)]), i) for i in range(60)]
+    got = joins.as_of(spark.createDataFrame(left, "ticker long, trade_date date, i int"),
+                      spark.createDataFrame(right, "ticker long, at date, v double, r int"), F.col("at"), ["v", "r"], order=["r"], days=days)
+    want = {}
+    for key, day, i in left:
+        known = [(a, r, v) for k, a, v, r in right if None not in (key, day, a) and k == key and a <= day]
+        want[i] = max(known, key=lambda x: x[:2])[:0:-1] if known else (None, None)
+    assert {x.i: (x.v, x.r) for x in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(ticker") and "_span" in plan and "NestedLoop" not in plan
+
+
 def test_net_value_and_drawdown(spark):
     rets = [0.1, -0.5, 0.2, 1.0, 0.0, -0.1]
     rows = [("s", i, r, datetime.date(2020, 1, 1) + datetime.timedelta(days=30 * i),

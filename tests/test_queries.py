@@ -13,7 +13,7 @@ from factorloom.sources.driver_tables import factor_panel
 SF = "/root/testdata/sf0.001"
 SAMPLE = ["s01_bar_scan", "s08_log_cleaning", "p08_trade_flags", "j07_fundamentals_as_of", "j12_last_sale",
           "a05_ticker_list", "t02_trade_date_by_offset", "m06_ps_pit", "m15_wq_alpha16", "m18_ntra_bias",
-          "m22_float_rate", "w04_corr", "w15_ewm", "x08_neutralize", "b01_rank", "b04_daily_choice",
+          "m22_float_rate", "w04_corr", "w15_ewm", "j01_metric_attach", "b20_choice_enrichment", "b22_export_ledger", "x08_neutralize", "b01_rank", "b04_daily_choice",
           "b11_drawdown", "b17_closed_trades", "b19_small_cap_monthly", "f001", "f029", "f077", "f096", "g021", "g075",
           "g138", "g159", "g174", "e01_scalars", "p09_one_day", "universe_x01_rank_pct", "universe_as_of",
           "universe_neutralize"]
@@ -65,3 +65,10 @@ def test_batch_plan_keeps_its_exchanges_few(spark):
     df = staging.attach(factor_panel(spark, SF), alpha101.FACTORS)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 10
+
+
+@pytest.mark.parametrize("name", ["j01_metric_attach", "j12_last_sale", "b22_export_ledger"])
+def test_bars_are_built_once(spark, name):
+    """The plan reads the written bars; line items are read by the job that writes them, and by no other."""
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_partkey" not in plan and "l_orderkey" not in plan
