@@ -22,14 +22,6 @@ from ..functions.ts import Carried, carry
 
 KEYS = ["ticker", "trade_date"]
 
-# With this many factors a row costs far more time than its bytes suggest, so that partitions merged by size would
-# leave most cores idle: the number of partitions is then taken from spark.sql.shuffle.partitions as it is.
-MANY = 20
-
-# Every ranked operand needs a sort of its own. Beyond this many, the operands are ranked in long form instead.
-MAX_SORTS = 6
-
-
 @dataclass(frozen=True)
 class DayRank:
     """The percent rank of a column within its trade date, average rank for ties."""
@@ -95,28 +87,14 @@ def _rank_long(df: DataFrame, operands: dict[str, Column]) -> DataFrame:
     )
 
 
-def _add_days(df: DataFrame, columns: dict, switched: bool, spread: bool) -> DataFrame:
-    """Add the columns of one by-date step; equal ranks of panel columns are computed once."""
-    operands, alias, other = {}, {}, {}
-    for name, c in columns.items():
-        if not isinstance(c, DayRank):
-            other[name] = c
-            continue
-        text = str(c.x)
-        shared = text if text[8:-2] in df.columns else name
-        alias[name] = operands.setdefault(shared, (name, c.x))[0]
-    ranks = dict(operands.values())
-    if len(ranks) <= MAX_SORTS:
-        df = df.withColumns({**{n: xs.rank_pct(x) for n, x in ranks.items()}, **other})
-    else:
-        if switched and not spread:
-            df = df.repartition("trade_date")
-        df = _rank_long(df.withColumns(other) if other else df, ranks)
-    return df.withColumns({n: F.col(a) for n, a in alias.items() if n != a}) if len(alias) > len(ranks) else df
-
-
-def _text(column) -> str:
-    return f"carried {column.x}" if isinstance(column, Carried) else str(column)
+def _add_days(df: DataFrame, columns: dict, several: bool) -> DataFrame:
+    """Add the columns of one by-date step. The ranks of several factors are taken in long form: every ranked operand
+    would need a sort of its own otherwise."""
+    ranks = {n: c.x for n, c in columns.items() if isinstance(c, DayRank)}
+    other = {n: c for n, c in columns.items() if n not in ranks}
+    if several and ranks:
+        return _rank_long((df.withColumns(other) if other else df).repartition("trade_date"), ranks)
+    return df.withColumns({**{n: xs.rank_pct(x) for n, x in ranks.items()}, **other})
 
 
 def _add_tickers(df: DataFrame, columns: dict) -> DataFrame:
@@ -150,7 +128,6 @@ def attach(panel: DataFrame, factors: dict[str, Factor]) -> DataFrame:
     finished: list[str] = []
     df, serial = panel.select(*KEYS, *[c for c in INPUTS.values() if c in panel.columns]), 0
     base = [c for c in df.columns if c not in KEYS]
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if len(factors) > MANY else 0
 
     def settle(df):
         """Turn finished factors into one column each and drop what only they needed."""
@@ -166,27 +143,17 @@ def attach(panel: DataFrame, factors: dict[str, Factor]) -> DataFrame:
     while running:
         # keep going on one key as long as any factor wants it, then switch: one exchange per switch
         for key in ("ticker", "trade_date"):
-            switched = True
             while wanted := {n: r for n, r in running.items() if r[1].key == key}:
                 df = settle(df)
-                new, given, same = {}, {}, {}
+                new, given = {}, {}
                 for name, (_, step) in wanted.items():
-                    names = []
-                    for column in step.columns:
-                        # the same window asked for by several factors is computed once
-                        text = None if isinstance(column, DayRank) or len(factors) == 1 else _text(column)
-                        if text is None or text not in same:
-                            serial += 1
-                            new[f"_{serial}"] = column
-                            same[text] = f"_{serial}"
-                        names.append(same[text])
+                    names = [f"_{serial + i}" for i in range(len(step.columns))]
+                    serial += len(names)
+                    new.update(zip(names, step.columns))
                     own[name] += names
                     refs = [F.col(n) for n in names]
                     given[name] = refs[0] if len(refs) == 1 else tuple(refs)
-                if switched and spread:
-                    df = df.repartition(spread, key)
-                df = _add_tickers(df, new) if key == "ticker" else _add_days(df, new, switched, bool(spread))
-                switched = False
+                df = _add_tickers(df, new) if key == "ticker" else _add_days(df, new, len(factors) > 1)
                 for name, (gen, _) in wanted.items():
                     advance(name, gen, given[name])
     df = settle(df)

@@ -46,13 +46,11 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_factors_together_equal_factors_alone(spark, monkeypatch):
-    """The long form of the ranks and the forced number of partitions change nothing."""
+def test_factors_together_equal_factors_alone(spark):
+    """The long form of the ranks changes nothing."""
     names = ["f004", "f013", "f015", "f027", "f042", "f050", "f060", "f078", "f083"]
     panel = factor_panel(spark, SF)
     alone = {n: staging.attach(panel, {n: alpha101.FACTORS[n]}) for n in names}
-    monkeypatch.setattr(staging, "MAX_SORTS", 2)
-    monkeypatch.setattr(staging, "MANY", 3)
     together = staging.attach(panel, {n: alpha101.FACTORS[n] for n in names})
     rows = {(r.ticker, r.trade_date): r for r in together.collect()}
     for n, df in alone.items():
