@@ -2,7 +2,7 @@
 
 Equal values of a date are counted before anything is shuffled, so a value that a third of the tickers share is one row a
 task. A date's distinct values are cut into slices at approximate quantiles; a window within a slice and the sums of the slices
-before it give every value its exact place, whatever the cuts are. Medians are selected by these places. What is joined by date
+before it give every value its exact place, whatever the cuts are. Medians sort the values around a date's middle alone. What is joined by date
 alone is one row, or SLICES rows, for each date of the calendar, which is small by its nature; what is joined by date and value
 has one row for each value on one side, so that adaptive execution can split the other. The panel, and the facts of its dates,
 are written to the shared folder before they are used several times.
@@ -47,15 +47,43 @@ def rank_pct(df: DataFrame, x, out: str, slices: int = SLICES) -> DataFrame:
     return df.join(ranks, (df[TIME] == ranks["_date"]) & (df["_key"] == ranks["_value"]), "left").drop("_date", "_value", "_key")
 
 
+def _middle(total):
+    return F.floor((total - 1) / 2), F.floor(total / 2)
+
+
+def middle(df: DataFrame, x, slices: int = SLICES) -> DataFrame:
+    """The rows of ``places`` around each date's middle, among them those that hold its two middle places.
+
+    Approximate quantiles on both sides of the middle cut a date in three, and counts say which parts hold the middle places,
+    whatever the quantiles are. So only a part of the values, about one in ``slices``, is exchanged.
+    """
+    values = df.select(TIME, col(x).cast("double").alias("v")).where("v is not null")
+    shares = [0.5 - 0.5 / slices, 0.5 + 0.5 / slices]
+    cuts = values.groupBy(TIME).agg(F.percentile_approx("v", shares, 4 * slices).alias("cuts"))
+    part = F.when(F.col("v") < F.col("cuts")[0], 0).when(F.col("v") <= F.col("cuts")[1], 1).otherwise(2)
+    parted = values.join(F.broadcast(written(cuts, "cuts")), TIME).select(TIME, "v", part.alias("part"))
+    date = Window.partitionBy(TIME)  # a row per part
+    low, high = _middle(F.col("total"))
+    end = F.col("before") + F.col("held")
+    holding = (parted.groupBy(TIME, "part").agg(F.count(F.lit(1)).alias("held"))
+               .select(TIME, "part", "held", (F.sum("held").over(date.orderBy("part")) - F.col("held")).alias("before"),
+                       F.sum("held").over(date).alias("total"))
+               .where(((F.col("before") <= low) & (low < end)) | ((F.col("before") <= high) & (high < end))))
+    within = Window.partitionBy(TIME, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    return (parted.join(F.broadcast(written(holding, "parts")), [TIME, "part"])
+            .groupBy(TIME, "part", "v", "before", "total").agg(F.count(F.lit(1)).alias("n"))
+            .select(TIME, "v", "n", (F.col("before") + F.sum("n").over(within) - F.col("n")).alias("below"), "total"))
+
+
 def median(df: DataFrame, x, out: str, slices: int = SLICES) -> DataFrame:
     """(date, median of ``x``) for every date that has a value: the mean of the two middle values."""
-    low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
+    low, high = _middle(F.col("total"))
     end = F.col("below") + F.col("n")
 
     def holds(place):
         return (F.col("below") <= place) & (place < end)
 
-    picked = places(df, x, slices).where(holds(low) | holds(high))
+    picked = middle(df, x, slices).where(holds(low) | holds(high))
     return picked.groupBy(TIME).agg(
         ((F.max(F.when(holds(low), F.col("v"))) + F.max(F.when(holds(high), F.col("v")))) / 2).alias(out))
 

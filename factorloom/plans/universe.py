@@ -44,11 +44,14 @@ def _top(spark, sf_dir):
 
 
 def _neutral(spark, sf_dir):
-    return tidy(spread.neutralize(d.traded(spark, sf_dir, None), "turnover_rate", "value").select("ticker", "trade_date", "value"))
+    # what is written for several passes holds the columns in use alone
+    panel = d.traded(spark, sf_dir, None).select("ticker", "trade_date", "turnover_rate", "neg_market_value")
+    return tidy(spread.neutralize(panel, "turnover_rate", "value").select("ticker", "trade_date", "value"))
 
 
 def _ranked(spark, sf_dir):
-    return tidy(spread.rank_pct(d.traded(spark, sf_dir, None), "turnover_vol", "value").select("ticker", "trade_date", "value"))
+    panel = d.traded(spark, sf_dir, None).select("ticker", "trade_date", "turnover_vol")
+    return tidy(spread.rank_pct(panel, "turnover_vol", "value").select("ticker", "trade_date", "value"))
 
 
 def _as_of(spark, sf_dir):

@@ -27,9 +27,17 @@ FITS = ("l_orderkey between 0 and 999999999999 and l_linenumber between 0 and 99
         " and l_extendedprice between 0 and 9999999999.99D and l_quantity between 0.01D and 9999999.99D")
 BEYOND = ("l_orderkey < 0 or l_orderkey > 999999999999 or l_linenumber < 0 or l_linenumber > 999"
           " or l_extendedprice < 0 or l_extendedprice > 9999999999.99D or l_quantity < 0 or l_quantity > 9999999.99D")
-PLACE = ("cast(datediff(l_shipdate, trunc(to_date(l_shipdate), 'week')) as decimal(1,0)) * 1000000000000000000000000000000000000BD"
-         " + cast(l_orderkey as decimal(12,0)) * 1000000000000000000000000BD + cast(l_linenumber as decimal(3,0)) * 1000000000000000000000BD"
-         " + cast(round(l_extendedprice * 100) as decimal(12,0)) * 1000000000BD + cast(round(l_quantity * 100) as decimal(9,0))")
+
+
+def _hundredths(x: str) -> str:
+    """round(x * 100) for what is not negative, as a long."""
+    return f"(floor({x} * 100) + if({x} * 100 - floor({x} * 100) >= 0.5D, 1, 0))"
+
+
+# two longs of 19 and 18 digits, so that a row costs one product and one sum of decimals
+PLACE = (f"cast(datediff(l_shipdate, trunc(to_date(l_shipdate), 'week')) * 1000000000000000000L + l_orderkey * 1000000L + l_linenumber * 1000L"
+         f" + {_hundredths('l_extendedprice')} div 1000000000L as decimal(19,0)) * 1000000000000000000BD"
+         f" + cast({_hundredths('l_extendedprice')} % 1000000000L * 1000000000L + {_hundredths('l_quantity')} as decimal(18,0))")
 
 
 def _fields(place: str) -> str:
@@ -42,6 +50,10 @@ def _fields(place: str) -> str:
             f" {digits(29, 9, 'double')} / 100 as l_quantity))")
 
 
+# the price of a place, from the amounts as they are packed: rows of one place have one price
+PACKED = f"try_divide({_hundredths('l_extendedprice')} / 100, {_hundredths('l_quantity')} / 100)"
+
+
 def _raw_bars(spark, sf_dir, tickers=TICKERS, start=None, end=None) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     # a week's bar holds seven days from its Monday on
@@ -58,10 +70,11 @@ def bars_of(lines: DataFrame, tickers: int | None = TICKERS) -> DataFrame:
     usual = (
         lines
         .selectExpr(*key, "try_divide(l_extendedprice, l_quantity) as price", f"if({FITS}, cast({PLACE} as decimal(38,0)), null) as place",
-                    "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+                    f"if({FITS}, {PACKED}, null) as packed", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
         .groupBy("ticker", "trade_date")
         .agg(*map(F.expr, [
             "min(place) as first_place", "max(place) as last_place",
+            "min_by(packed, place) as first_packed", "max_by(packed, place) as last_packed",
             "max(price) as highest_price", "min(price) as lowest_price",
             "sum(l_quantity) as qty", "sum(l_extendedprice) as val", "count(1) as deal_amount",
             "avg(l_discount) as disc", "avg(l_tax) as tax"]))
@@ -72,12 +85,14 @@ def bars_of(lines: DataFrame, tickers: int | None = TICKERS) -> DataFrame:
         .groupBy("ticker", "trade_date").agg(F.min("row").alias("first_beyond"), F.max("row").alias("last_beyond"))
     )
 
+    # the fields of a place are taken apart only where a row beyond the packing has to be compared with it
     return (
         usual.join(beyond, ["ticker", "trade_date"], "left")
-        .withColumns({"first": F.expr(f"least({_fields('first_place')}, first_beyond)"),
-                      "last": F.expr(f"greatest({_fields('last_place')}, last_beyond)")})
-        .selectExpr("ticker", "trade_date", "try_divide(first.l_extendedprice, first.l_quantity) as first_price",
-                    "try_divide(last.l_extendedprice, last.l_quantity) as close_price",
+        .withColumns({"first": F.expr(f"if(first_beyond is null, null, least({_fields('first_place')}, first_beyond))"),
+                      "last": F.expr(f"if(last_beyond is null, null, greatest({_fields('last_place')}, last_beyond))")})
+        .selectExpr("ticker", "trade_date",
+                    "if(first_beyond is null, first_packed, try_divide(first.l_extendedprice, first.l_quantity)) as first_price",
+                    "if(last_beyond is null, last_packed, try_divide(last.l_extendedprice, last.l_quantity)) as close_price",
                     "highest_price", "lowest_price", "qty", "val", "deal_amount", "disc", "tax")
     )
 

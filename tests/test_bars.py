@@ -67,3 +67,13 @@ def test_calendar_follows_the_dates(spark):
     r = days.selectExpr("min(calendar_date) a", "max(calendar_date) b", "count(1) n", "count_if(is_open) o").first()
     assert (str(r.a), str(r.b), r.n, r.o) == ("2024-03-04", "2025-04-13", 406, 58)
     assert d.calendar_of(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_prices_come_with_their_place(spark):
+    """A place of 37 digits is taken apart only beside a row beyond the packing."""
+    plan = d.bars_of(spark.createDataFrame([row(1, 1, 1, 1)], SCHEMA)).select("first_price", "close_price")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" in text and "max_by" in text and "if (isnull(first_beyond" in text
+    # halves and amounts finer than a hundredth, as they are packed
+    got = d.bars_of(spark.createDataFrame([row(1, 1, 3, 0.125), row(2, 1, 0.015, 10.004)], SCHEMA)).first()
+    assert (got.first_price, got.close_price) == (0.13 / 3, 10.0 / 0.02)

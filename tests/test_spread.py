@@ -52,3 +52,29 @@ def test_a_date_is_many_slices(panel):
     # windows are by date and slice; by date alone only over the sums of the slices
     assert "[trade_date" in plan and "slice" in plan
     assert spread.places(panel.where("false"), "x").count() == 0
+
+
+def test_a_median_sorts_values_around_the_middle(spark):
+    """Not all values of a date, and exact where a value fills the middle or a date has two values."""
+    df = spark.range(40_000).selectExpr("date_add(date'2020-01-06', cast(id % 2 as int) * 7) as trade_date", "id * 1.0D as x")
+    few = spread.middle(df, "x")
+    assert few.count() < 40_000 / 8 and {r.total for r in few.collect()} == {20_000}
+    assert sorted(r.v for r in spread.median(df, "x", "v").collect()) == [19_999.0, 20_000.0]
+    tied = spark.createDataFrame([("a", v) for v in [1.0, 5.0]] + [("b", v) for v in [0.0] * 50 + [7.0] * 50 + [float("inf")]]
+                                 + [("c", None), ("d", -2.0)], "trade_date string, x double")
+    assert {r.trade_date: r.v for r in spread.median(tied, "x", "v").collect()} == {"a": 3.0, "b": 7.0, "d": -2.0}
+
+
+def columns_written(monkeypatch, spark, name):
+    from factorloom.plans import universe
+
+    seen, write = [], spread.written
+    for module in (spread, universe, universe.d):
+        monkeypatch.setattr(module, "written", lambda df, label: seen.append((label, df.columns)) or write(df, label), raising=False)
+    assert universe.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    return [columns for label, columns in seen if label in ("panel", "bars", "traded")]
+
+
+def test_a_neutral_panel_is_written_with_the_columns_in_use(monkeypatch, spark):
+    assert columns_written(monkeypatch, spark, "universe_neutralize") == [["ticker", "trade_date", "turnover_rate", "neg_market_value"]]
+    assert columns_written(monkeypatch, spark, "universe_x01_rank_pct") == [["ticker", "trade_date", "turnover_vol"]]
