@@ -9,6 +9,7 @@ from ..factors.staging import attach
 from ..functions import spread, xs
 from ..operators import joins, ranking
 from ..sources import driver_tables as d
+from ..sources.scratch import written
 from . import alpha101_sql, gtja191_sql
 from .common import tidy
 from .metrics import PS
@@ -55,7 +56,7 @@ def _ranked(spark, sf_dir):
 
 
 def _as_of(spark, sf_dir):
-    panel = d.bars_once(spark, sf_dir, None).where("open_price > 0").select("ticker", "trade_date")
+    panel = written(d.traded(spark, sf_dir, None).select("ticker", "trade_date"), "traded")
     return tidy(joins.fundamentals_as_of(panel, d.ps_pit(spark, sf_dir, None), ["end_date", "basic_eps"]))
 
 

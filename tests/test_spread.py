@@ -78,3 +78,7 @@ def columns_written(monkeypatch, spark, name):
 def test_a_neutral_panel_is_written_with_the_columns_in_use(monkeypatch, spark):
     assert columns_written(monkeypatch, spark, "universe_neutralize") == [["ticker", "trade_date", "turnover_rate", "neg_market_value"]]
     assert columns_written(monkeypatch, spark, "universe_x01_rank_pct") == [["ticker", "trade_date", "turnover_vol"]]
+
+
+def test_a_panel_joined_as_of_is_written_with_its_keys(monkeypatch, spark):
+    assert columns_written(monkeypatch, spark, "universe_as_of") == [["ticker", "trade_date"]]
