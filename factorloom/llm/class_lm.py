@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ BATCH = 512  # words that move together, if rarer
 BLOCK_TOKENS = 6_000_000
 STEP = 500_000  # tokens of a block that are counted at once
 BLOCK_WORDS = 600_000
+PIECE = 4_000_000  # bytes of texts that are split at once
 BUCKET_WORDS = 4096  # words whose counts one task reduces
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double")
@@ -52,6 +54,33 @@ def _numbers(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch cut after every PIECE bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // PIECE, prepend=-1))
+    for a, b in zip(at.tolist(), [*at[1:].tolist(), batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
+def _encoded(texts: pa.Array, numbers: defaultdict) -> tuple[np.ndarray, np.ndarray]:
+    """The word numbers of some texts, each text with its end (0), and how many each has. New words get the next numbers in
+    the order in which they come; a text's words are split, lowered and told apart by Arrow, so that Python meets each once."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = lists.flatten().dictionary_encode()
+    distinct = words.dictionary.to_numpy(zero_copy_only=False)  # the quickest way to Python strings
+    known = np.fromiter(map(numbers.__getitem__, distinct), np.int32, len(distinct))
+    ids = known[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int32)
+    real = ids != 0  # white space at a text's margin leaves an empty word there
+    upto = np.append(0, np.cumsum(real))
+    cuts = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = upto[cuts[1:] - cuts[0]] - upto[cuts[:-1] - cuts[0]] + 1
+    out = np.zeros(int(sizes.sum()), np.int32)
+    inner = np.ones(len(out), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    out[inner] = ids[real]
+    return out, sizes
+
+
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents (their tokens as numbers of the block's words) and, after them, of the block's words with how
     often its training documents hold them. Word 0 is the end of a text, written as an empty word."""
@@ -64,36 +93,34 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal numbers, seen, tokens
         numbers, seen, tokens = defaultdict(), [], 0
         numbers.default_factory = numbers.__len__
-        numbers[b""]
+        numbers[""]
 
     def batch(columns):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     def words():
         count = np.bincount(np.concatenate(seen) if seen else np.zeros(0, np.int32), minlength=len(numbers))
-        all_ = [w.decode() for w in numbers]
+        all_ = list(numbers)
         for at in range(0, len(all_), 50_000):
             yield batch([[block], [None], [None], [None], [at], [all_[at:at + 50_000]], [count[at:at + 50_000]]])
 
     begin()
     for rows in batches:
         out, size = [], 0
-        for doc_id, held, text in zip(*[rows.column(i) for i in range(3)]):
-            found = text.as_py().encode().lower().split()  # both as ASCII has it
-            ids = np.fromiter(map(numbers.__getitem__, found), np.int32, len(found))
-            ids = np.append(ids, np.int32(0))
-            if not held.as_py():
-                seen.append(ids)
-            out.append((block, doc_id.as_py(), held.as_py(), _planes(ids)))
+        for piece in _pieces(rows):
+            ids, sizes = _encoded(piece.column(2), numbers)
+            ends = np.cumsum(sizes)
+            held = piece.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            seen.append(ids[~np.repeat(held, sizes)])
+            for doc_id, h, a, b in zip(piece.column(0).to_pylist(), held.tolist(), (ends - sizes).tolist(), ends.tolist()):
+                out.append((block, doc_id, h, _planes(ids[a:b])))
             size += len(ids)
             tokens += len(ids)
-            if size > 1_000_000:
+            full = tokens > BLOCK_TOKENS or len(numbers) > BLOCK_WORDS
+            if size > 1_000_000 or full:
                 yield batch([*zip(*out), [None] * len(out), [None] * len(out), [None] * len(out)])
                 out, size = [], 0
-            if tokens > BLOCK_TOKENS or len(numbers) > BLOCK_WORDS:
-                if out:
-                    yield batch([*zip(*out), [None] * len(out), [None] * len(out), [None] * len(out)])
-                    out, size = [], 0
+            if full:
                 yield from words()
                 block += 1
                 begin()
@@ -394,8 +421,9 @@ def score(docs: DataFrame) -> DataFrame:
               .select((F.shiftleft("block", 24) + F.col("base") + F.col("pos")).alias("place"), F.col("w.words").alias("word"),
                       F.col("w.counts").alias("n")))
     # a word has one row for each block that holds it; a block has less than 2 ** 24 words
-    same = Window.partitionBy("word")
-    words = stored(listed.withColumn("c", F.sum("n").over(same)).withColumn("nth", F.row_number().over(same.orderBy("place"))).select(
+    same = Window.partitionBy("word").orderBy("place")  # one order for both, or the words are sorted twice
+    all_ = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    words = stored(listed.withColumns({"c": F.sum("n").over(all_), "nth": F.row_number().over(same)}).select(
         F.shiftright("place", 24).alias("block"), F.col("place").bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("lid"), "c",
         (F.col("nth") == 1).alias("first"),
         F.when((F.col("c") >= MIN_COUNT) & (F.col("word") != ""), F.xxhash64("word")).alias("h")), "words")
@@ -426,7 +454,8 @@ def score(docs: DataFrame) -> DataFrame:
     common = spark.table(f"{name}_words")
 
     def classed(classes: DataFrame) -> DataFrame:
-        return common.join(classes, "h").select("block", (F.shiftleft(F.col("lid").cast("long"), 16) + F.col("class")).alias("word"))
+        # a bucket's words, fewer than a block may hold, are looked up without sorting all blocks' words each time
+        return common.join(classes.hint("shuffle_hash"), "h").select("block", (F.shiftleft(F.col("lid").cast("long"), 16) + F.col("class")).alias("word"))
 
     # the most frequent words start a class each, the others are spread
     n_classes = max(CLASSES, round(sums["common"] ** (1 / 3)))

@@ -124,3 +124,33 @@ def test_scores_of_the_module_are_probabilities(spark):
     assert 10 ** got[5].score < 1 and all(r.score < 0 for r in got.values())
     mass = sum(10 ** s for s in (next(iter(same[t])) for t in same))
     assert mass < 1
+
+
+def test_python_meets_a_word_once_a_piece(monkeypatch):
+    """Split, lowered and numbered as bytes.lower().split() would, over cuts between pieces, with one look-up a distinct word."""
+    import pyarrow as pa
+    from collections import defaultdict
+
+    monkeypatch.setattr(lm, "PIECE", 40)
+    texts = ["A b\x0bB  a\u00a0c", "", " \t", "\u0130x\x1cY \u0130X\x1cy\r\n", "b" * 100 + " a " * 30, "z"] * 3
+
+    class Counted(defaultdict):
+        asked = 0
+
+        def __getitem__(self, word):
+            Counted.asked += 1
+            return super().__getitem__(word)
+
+    numbers = Counted()
+    numbers.default_factory = numbers.__len__
+    numbers[""]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(18)), pa.array([False] * 18), pa.array(texts)], names=["a", "b", "text"])
+    pieces = [lm._encoded(p.column(2), numbers) for p in lm._pieces(rows)]
+    assert len(pieces) > 3
+    got, sizes = np.concatenate([p[0] for p in pieces]), np.concatenate([p[1] for p in pieces])
+    want = [t.encode().lower().split() + [b""] for t in texts]
+    spelt = [w.encode() for w in numbers]
+    assert [spelt[i] for i in got] == [w for t in want for w in t] and sizes.tolist() == [len(t) for t in want]
+    assert Counted.asked < len(got) / 2
+    first = list(dict.fromkeys(w for t in want for w in t if w))
+    assert spelt[1:] == first
