@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, parts_for, shared_folder, stored, whole_text
+from .common import cut_batch, discard, parts_for, shared_folder, stored, whole_text
 
 CLASSES = 32  # at least; a large vocabulary has more
 MIN_COUNT = 2
@@ -56,10 +56,7 @@ def _numbers(raw: bytes) -> np.ndarray:
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch cut after every PIECE bytes of text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    at = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // PIECE, prepend=-1))
-    for a, b in zip(at.tolist(), [*at[1:].tolist(), batch.num_rows]):
-        yield batch.slice(a, b - a)
+    return cut_batch(batch, 2, PIECE)
 
 
 def _encoded(texts: pa.Array, numbers: defaultdict) -> tuple[np.ndarray, np.ndarray]:

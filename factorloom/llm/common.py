@@ -6,6 +6,8 @@ import math
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +68,14 @@ def text_groups(column, most: int = 1_500_000):
         yield group
 
 
+def cut_batch(batch, column: int, most: int):
+    """An Arrow batch cut where the texts of a column pass another ``most`` bytes."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // most, prepend=-1)).tolist()
+    for a, b in zip(at, [*at[1:], batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
 def hash_bound(rank, rows: int, size: int):
     """Whether a row may be among the ``size`` of least ``rank`` (a 64-bit hash) of ``rows``: true of about twice as many."""
     bound = int(-2 ** 63 + 2 ** 64 * min(1.0, (2 * size + 64) / max(1, rows))) - 1

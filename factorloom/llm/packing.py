@@ -12,36 +12,37 @@ predecessors one by one, the second is a sliding minimum of best[i] + i, kept in
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import compress
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import ChunkTable, flat
-from .common import text_groups, whole_text
+from .common import cut_batch, whole_text
 
 WINDOW = 4096
 END_ID = 2
 SENTENCE_CUT = 24  # penalties in padding tokens
 INNER_CUT = 96
 STRIDES = 16  # inner cuts to a window where neither a document nor a sentence ends
-STREAM = 1 << 20  # tokens planned at once
-KEPT = (350_000, 600_000)  # chunks and words whose ids a task keeps: memory for time, ids do not depend on it
+STREAM = 1 << 20  # tokens planned at once, or those of a group of texts
+KEPT = 600_000  # words whose ids a task keeps: memory for time, ids do not depend on it
+GROUP = 8_000_000  # bytes of texts that are encoded at once
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_length long, ids binary")
 
-# fixed values: white space as the tokenizer's normaliser has it; Python's str.split knows four more
-MORE_SPACE = re.compile("[\x1c-\x1f]")
-WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!%*&$#|]*)")
+# fixed values: letters that the tokenizer knows alone or in lower case, and characters that it parts from them
+WORD = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,!%*&$#|]*)$"
 LETTERS = re.compile("[a-zß-öø-ÿ]+")
 LINE = 2000  # plain words encoded as one text
 
@@ -49,12 +50,13 @@ LINE = 2000  # plain words encoded as one text
 class Words:
     """Ids of texts under a word-level tokenizer whose words end at white space."""
 
-    def __init__(self, path: str, kept: tuple[int, int] = KEPT):
+    def __init__(self, path: str, kept: int = KEPT):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core: threads would wait for each other
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
-        self.chunks, self.parts = ChunkTable(self._chunks, kept[0]), ChunkTable(self._parts, kept[1])
+        self.parts = ChunkTable(self._parts, kept)
         ends = [self.tokenizer.token_to_id(f"{end}</w>") for end in (".", "!", "?", "!!", "...", "。")]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[e for e in ends if e is not None]] = True
@@ -82,34 +84,38 @@ class Words:
         out[mine], out[~mine] = ids, others
         return out, count
 
-    def _chunks(self, chunks):
-        """A plain word and the punctuation behind it are looked up apart, in lower case: the tokenizer splits there."""
-        parts, pairs, match = [], [], WORD.fullmatch
-        for chunk in chunks:
-            m = match(chunk)
-            if m is None:
-                parts.append(chunk)
-                pairs.append(1)
-            elif m[2]:
-                parts += (m[1].lower(), m[2])
-                pairs.append(2)
-            else:
-                parts.append(m[1].lower())
-                pairs.append(1)
-        ids, count = self.parts.gather(parts)
-        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum([0, *pairs])]
-        return ids, np.diff(ends)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, and how many each has."""
-        names = [t.split() if not MORE_SPACE.search(t) else [t] for t in texts]
-        ids, count = self.chunks.gather([c for n in names for c in n])
-        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum([0, *map(len, names)])]
-        return ids, np.diff(ends)
+    def _chunks(self, chunks: pa.Array) -> pa.ListArray:
+        """The ids of each chunk. A plain word and the punctuation behind it are looked up apart, in lower case: the
+        tokenizer splits there. All other chunks are left to the library."""
+        found = pc.extract_regex(chunks, WORD)
+        plain = found.is_valid()
+        found, rest = found.filter(plain), chunks.filter(pc.invert(plain))
+        words = pc.utf8_lower(found.field("word")).dictionary_encode()
+        marks = found.field("marks").dictionary_encode()
+        kinds = [words.dictionary, rest, marks.dictionary]
+        ids, count = self.parts.gather([part for kind in kinds for part in kind.to_numpy(zero_copy_only=False)])
+        parts = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.append(count, 0))), pa.int32()), pa.array(ids))
+        # the two parts of each chunk; the second may be the empty list at the end
+        two = np.full((len(chunks), 2), len(count), np.int32)
+        plain = plain.to_numpy(zero_copy_only=False)
+        two[plain, 0] = words.indices.to_numpy()
+        two[~plain, 0] = len(kinds[0]) + np.arange(len(rest))
+        two[plain, 1] = len(kinds[0]) + len(rest) + marks.indices.to_numpy()
+        both = parts.take(pa.array(two.ravel()))
+        return pa.ListArray.from_arrays(pa.array(both.offsets.to_numpy()[::2]), both.flatten())
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has. Texts are split at ASCII white space, which
+        ends a word for the tokenizer as all white space does; Arrow tells the chunks apart, so that Python meets each once."""
+        lists = pc.ascii_split_whitespace(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        chunks = lists.flatten().dictionary_encode()
+        ids = self._chunks(chunks.dictionary).take(chunks.indices)
+        cuts = lists.offsets.to_numpy()
+        return ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy()[cuts - cuts[0]])
 
 
 @lru_cache(maxsize=4)
-def words(path: str, kept: tuple[int, int] = KEPT) -> Words:
+def words(path: str, kept: int = KEPT) -> Words:
     return Words(path, kept)
 
 
@@ -137,31 +143,38 @@ def plan(cuts: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> list[in
     """Numbers of the chosen cuts, from the first to the last, at least cost; among equals the longer last window."""
     places, fines = cuts.tolist(), penalty.tolist()
     # the power-of-two predecessors that are cuts, longest first: (j, i) by j
+    number = np.full(int(cuts[-1]) + 1, -1, np.int32)
+    number[cuts] = np.arange(len(cuts))
     later, earlier = [], []
     for power in (1 << k for k in range(window.bit_length() - 1, -1, -1)):
-        at = np.searchsorted(cuts, cuts - power)
-        j = np.flatnonzero(cuts[at] == cuts - power)
-        later.append(j)
-        earlier.append(at[j])
+        reach = int(np.searchsorted(cuts, power))
+        i = number[cuts[reach:] - power]
+        j = np.flatnonzero(i >= 0)
+        later.append(j + reach)
+        earlier.append(i[j])
     later, earlier = np.concatenate(later), np.concatenate(earlier)
     order = np.argsort(later, kind="stable")
     steps, first = earlier[order].tolist(), np.searchsorted(later[order], np.arange(len(places) + 1)).tolist()
+    nearest = np.searchsorted(cuts, cuts - window).tolist()  # the first cut within a window before each
     best, back = [0] * len(places), [0] * len(places)
-    queue = deque([(0, 0)])  # (best[i] + place, i), rising
+    # the queue: cuts i and best[i] + place, both rising, from ``head`` on
+    keys, queued, head = [0], [0], 0
     for j in range(1, len(places)):
-        at = places[j]
-        while places[queue[0][1]] < at - window:
-            queue.popleft()
-        cost, i = queue[0]
-        cost += window - at
+        at, least = places[j], nearest[j]
+        while queued[head] < least:
+            head += 1
+        cost, i = keys[head] + window - at, queued[head]
         for k in steps[first[j]:first[j + 1]]:
             if best[k] < cost or best[k] == cost and k < i:
                 cost, i = best[k], k
-        best[j], back[j] = cost + fines[j], i
-        key = best[j] + at
-        while queue and queue[-1][0] > key:
-            queue.pop()
-        queue.append((key, j))
+        cost += fines[j]
+        best[j], back[j] = cost, i
+        key = cost + at
+        while keys and keys[-1] > key and len(keys) > head:
+            keys.pop()
+            queued.pop()
+        keys.append(key)
+        queued.append(j)
     chosen, j = [len(places) - 1], len(places) - 1
     while j:
         j = back[j]
@@ -170,12 +183,12 @@ def plan(cuts: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> list[in
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = True,
-         kept: tuple[int, int] = KEPT) -> DataFrame:
+         kept: int = KEPT) -> DataFrame:
     """One row per piece of a document: its ids, where they start in the document, its sequence and place there.
 
     Every document's ids (a null text counts as empty) get ``end_id`` at the end, so every row has at least one piece;
     repeated rows and null ids are documents of their own. Other columns are ignored, whatever their names. Sequences
-    follow the order of rows, hold at most ``window`` ids and belong to one task: a stream of ``STREAM`` ids is planned
+    follow the order of rows, hold at most ``window`` ids and belong to one task: a stream of ``STREAM`` ids or more is planned
     at once, and what follows its last full windows goes into the next plan. ``ids`` holds the piece's ids as
     little-endian unsigned 32-bit numbers, null without ``with_ids``. ``kept`` trades a task's memory for time
     (about 150 bytes an entry). ``tokenizer_path`` must exist on every executor.
@@ -224,13 +237,10 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
             names, stream = names[at:], stream[gone:]
 
         for batch in batches:
-            at = 0
-            for texts in text_groups(batch.column(1)):
-                ids, count = w.encode(texts)
-                ends = np.cumsum(count)
-                stream = np.concatenate([stream, np.insert(ids, ends, end_id)])
-                names += [(batch.column(0)[at + i].as_py(), int(n) + 1, 0) for i, n in enumerate(count)]
-                at += len(texts)
+            for rows in cut_batch(batch, 1, GROUP):
+                ids, count = w.encode(rows.column(1))
+                stream = np.concatenate([stream, np.insert(ids, np.cumsum(count), end_id)])
+                names += zip(rows.column(0).to_pylist(), (count + 1).tolist(), repeat(0))
                 if len(stream) >= STREAM:
                     yield from place(False)
         if names:

@@ -52,7 +52,7 @@ def op6_packing(spark, sf_dir):
     from . import packing
 
     packed = packing.pack(table(spark, sf_dir, "documents"), _public("word_bpe_49k.json"), with_ids=False,
-                          kept=(700_000, 700_000))
+                          kept=700_000)
     return packed.drop("ids")
 
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -78,6 +79,30 @@ def test_chunk_ids_equal_the_library(tokenizer):
     assert count.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
 
 
+def test_python_meets_a_chunk_once_a_group(tokenizer):
+    """A group's words are split and told apart by Arrow: one look-up a distinct word, the library's ids all the same."""
+    texts = ["The cat, the CAT\x1c sat.\u3000It's 12 cats!! ", "", "  the\n\tcat sat. \u00e9\u0301t\u00e9", "no,no $%x\u0085"] * 250
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    w = p.Words(PATH)
+    asked = []
+
+    class Counted(dict):
+        def get(self, chunk, default):
+            asked.append(chunk)
+            return super().get(chunk, default)
+
+    for each in vars(w).values():
+        if isinstance(each, p.ChunkTable):
+            each.slots = Counted()
+    groups = list(p.cut_batch(batch, 0, 12_000))
+    assert len(groups) > 1 and sum(g.num_rows for g in groups) == len(texts)
+    got = [w.encode(g.column(0)) for g in groups]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert np.concatenate([count for _, count in got]).tolist() == list(map(len, want))
+    assert np.concatenate([ids for ids, _ in got]).tolist() == [i for x in want for i in x]
+    assert len(asked) < 30 * len(groups) < len(texts)
+
+
 def test_edges(edge, nothing):
     got = p.pack(edge, PATH, with_ids=False).toPandas()
     assert got.groupby("sequence_id").length.sum().max() <= p.WINDOW
