@@ -176,11 +176,39 @@ def _words(docs: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(row["lids"], "<i4"), np.frombuffer(row["hashes"], "<i8"), np.frombuffer(row["counts"], "<i8")
 
 
+def _places(top: np.ndarray):
+    """For a bucket of words: one row with their hashes in order and their first classes, and for each block one with the
+    numbers that the block gives its words and their places among the hashes. The words of ``top`` start a class each."""
+    def run(key, words: pd.DataFrame) -> pd.DataFrame:
+        h, at = np.unique(words["h"].to_numpy(), return_inverse=True)
+        start = np.zeros(len(h), "<u2")
+        start[at] = words["start"].to_numpy()
+        place = np.minimum(np.searchsorted(h, top), len(h) - 1)
+        mine = np.flatnonzero(h[place] == top)
+        start[place[mine]] = mine + 1
+        block = words["block"].to_numpy()
+        order = np.argsort(block, kind="stable")
+        block, at, lids = block[order], at[order].astype("<i4"), words["lid"].to_numpy()[order].astype("<i4")
+        cuts = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
+        rows = [(key[0], None, h.astype("<i8").tobytes(), start.tobytes(), None, None)]
+        rows += [(key[0], block[a], None, None, at[a:b].tobytes(), lids[a:b].tobytes()) for a, b in zip(cuts, [*cuts[1:], len(at)])]
+        return pd.DataFrame(rows, columns=["bucket", "block", "h", "class", "at", "lids"]).astype({"block": "Int64"})
+
+    return run
+
+
+def _classed(places: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
+    """The words of a bucket by block: their numbers there and their classes."""
+    now = np.frombuffer(classes["class"].iloc[0], "<u2")
+    return pd.DataFrame({"block": places["block"], "lids": places["lids"],
+                         "class": [now[np.frombuffer(at, "<i4")].tobytes() for at in places["at"]]})
+
+
 def _table(words: pd.DataFrame) -> np.ndarray:
-    """The class of each word number; ``words`` has number and class as one number."""
-    both = words["word"].to_numpy()
-    table = np.zeros(int(both.max() >> 16) + 1 if len(both) else 1, np.uint16)
-    table[both >> 16] = both & 65535
+    """The class of each word number."""
+    lids = np.frombuffer(b"".join(words["lids"]), "<i4")
+    table = np.zeros(int(lids.max()) + 1 if len(lids) else 1, np.uint16)
+    table[lids] = np.frombuffer(b"".join(words["class"]), "<u2")
     return table
 
 
@@ -226,7 +254,6 @@ def _contexts(turn: int, parts: int, buckets: int, n_classes: int):
         lids, h, bucket = lids[order], h[order], bucket[order]
         if not len(h) or not len(ids):
             return pd.DataFrame()
-        own = table[lids]
         row_of = np.full(max(int(ids.max()) - BANDS, int(lids.max())) + 1, -1, np.int64)
         row_of[lids] = np.arange(len(lids))
         cells, counts = [], []
@@ -253,8 +280,8 @@ def _contexts(turn: int, parts: int, buckets: int, n_classes: int):
         out = []
         for a, b in zip(cuts, np.append(cuts[1:], len(h))):
             x, y = ends[a] - width[a], ends[b - 1]
-            out.append((bucket[a], h[a:b].tobytes(), own[a:b].tobytes(), width[a:b].tobytes(), k[x:y].tobytes(), n[x:y].tobytes()))
-        return pd.DataFrame(out, columns=["bucket", "h", "own", "width", "k", "n"])
+            out.append((bucket[a], h[a:b].tobytes(), width[a:b].tobytes(), k[x:y].tobytes(), n[x:y].tobytes()))
+        return pd.DataFrame(out, columns=["bucket", "h", "width", "k", "n"])
 
     return run
 
@@ -263,6 +290,19 @@ def _g(x):
     return x * np.log(np.maximum(x, 1.0))
 
 
+def _sums(rows: np.ndarray, kind: np.ndarray, starts: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """The sum of each word's cells, added from the first to the last as np.add.reduceat(rows[kind], starts, axis=0) would,
+    but one place of all words at a time: words that move together have about as many cells."""
+    order = np.argsort(-width, kind="stable")
+    first, longer = starts[order], np.cumsum(np.bincount(width)[::-1])[::-1]  # longer[d]: words of d cells or more
+    total = rows[kind[first]]
+    for d in range(1, len(longer) - 1):
+        total[:longer[d + 1]] += rows[kind[first[:longer[d + 1]] + d]]
+    out = np.empty_like(total)
+    out[order] = total
+    return out
+
+
 def best_classes(own: np.ndarray, word: np.ndarray, k: np.ndarray, n: np.ndarray, pairs: np.ndarray, often: int = OFTEN,
                  batch: int = BATCH) -> np.ndarray:
     """The classes, 1 to the number of them in ``pairs``, after one exchange of each word, the most frequent first; a word stays where it
@@ -315,7 +355,7 @@ def best_classes(own: np.ndarray, word: np.ndarray, k: np.ndarray, n: np.ndarray
         # cells with one context and count have one row of gains
         kinds, kind = np.unique(context * (1 << 32) + count.astype(np.int64), return_inverse=True)
         old, new = around[kinds >> 32], (kinds & (1 << 32) - 1)[:, None]
-        gain = np.add.reduceat((_g(old + new) - _g(old))[kind], starts, axis=0)
+        gain = _sums(_g(old + new) - _g(old), kind, starts, width)
         rest = np.maximum(size[each], 0)
         gain -= 2 * (_g(rest + total[:, None]) - _g(rest))
         # what a word's own class loses without it
@@ -343,15 +383,18 @@ def best_classes(own: np.ndarray, word: np.ndarray, k: np.ndarray, n: np.ndarray
 def _exchange(pairs: np.ndarray):
     all_ = len(pairs)
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        h, first, word = np.unique(np.frombuffer(b"".join(rows["h"]), np.int64), return_index=True, return_inverse=True)
-        own = np.frombuffer(b"".join(rows["own"]), "<u2")[first].astype(np.int64)
-        width = np.frombuffer(b"".join(rows["width"]), "<u2")
-        k = np.frombuffer(b"".join(rows["k"]), "<u2").astype(np.int64)
-        n = np.frombuffer(b"".join(rows["n"]), "<u4").astype(float)
-        dense = np.bincount(np.repeat(word, width) * 2 * all_ + k, n, minlength=len(h) * 2 * all_)
-        cell = np.flatnonzero(dense)
-        return pd.DataFrame({"h": h, "class": best_classes(own, cell // (2 * all_), cell % (2 * all_), dense[cell], pairs)})
+    def run(rows: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
+        """The classes of a bucket's words after the exchange of those whose contexts are in ``rows``."""
+        every, now = np.frombuffer(classes["h"].iloc[0], "<i8"), np.frombuffer(classes["class"].iloc[0], "<u2").copy()
+        if len(rows):
+            h, word = np.unique(np.frombuffer(b"".join(rows["h"]), np.int64), return_inverse=True)
+            width = np.frombuffer(b"".join(rows["width"]), "<u2")
+            k = np.frombuffer(b"".join(rows["k"]), "<u2").astype(np.int64)
+            n = np.frombuffer(b"".join(rows["n"]), "<u4").astype(float)
+            dense = np.bincount(np.repeat(word, width) * 2 * all_ + k, n, minlength=len(h) * 2 * all_)
+            cell, at = np.flatnonzero(dense), np.searchsorted(every, h)
+            now[at] = best_classes(now[at].astype(np.int64), cell // (2 * all_), cell % (2 * all_), dense[cell], pairs)
+        return classes.assign(**{"class": [now.tobytes()]})
 
     return run
 
@@ -444,36 +487,37 @@ def score(docs: DataFrame) -> DataFrame:
      .write.format("parquet").option("compression", "zstd").bucketBy(min(buckets, 4096), "block")
      .option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name))
     blocks = spark.table(name)
-    # bucketed by word: the rounds bring classes to it, and shuffle only block, number and class
-    (words.where("h is not null").select("block", "lid", "h").repartition(min(buckets, 4096), "h")
-     .write.format("parquet").option("compression", "zstd").bucketBy(min(buckets, 4096), "h")
-     .option("path", f"{shared_folder(spark)}/{name}_words").saveAsTable(f"{name}_words"))
-    common = spark.table(f"{name}_words")
-
-    def classed(classes: DataFrame) -> DataFrame:
-        # a bucket's words, fewer than a block may hold, are looked up without sorting all blocks' words each time
-        return common.join(classes.hint("shuffle_hash"), "h").select("block", (F.shiftleft(F.col("lid").cast("long"), 16) + F.col("class")).alias("word"))
-
     # the most frequent words start a class each, the others are spread
     n_classes = max(CLASSES, round(sums["common"] ** (1 / 3)))
     top = [r["h"] for r in once.where("h is not null").orderBy(F.desc("c"), "h").limit(n_classes).select("h").collect()]
-    first = spark.createDataFrame([(h, i + 1) for i, h in enumerate(top)], "h long, start long")
     spread = F.pmod(F.xxhash64(F.lit(3), "h"), F.lit(n_classes)) + 1
-    classes = once.where("h is not null").select("h").dropDuplicates(["h"]).join(F.broadcast(first), "h", "left")
-    classes = stored(classes.select("h", F.coalesce("start", spread).cast("long").alias("class")), "classes")
+    # bucketed by word: the rounds bring a bucket's classes to it, and shuffle a row for each bucket and block, not each word
+    groups = parts_for(sums["common"], BUCKET_WORDS * PARTS)
+    bucket = F.pmod(F.shiftright("h", 16), F.lit(groups)).cast("long")
+    (words.where("h is not null").select(bucket.alias("bucket"), "block", "lid", "h", spread.alias("start"))
+     .repartition(min(buckets, 4096), "bucket").groupBy("bucket")
+     .applyInPandas(_places(np.array(top, np.int64)), "bucket long, block long, h binary, class binary, at binary, lids binary")
+     .write.format("parquet").option("compression", "zstd").bucketBy(min(buckets, 4096), "bucket")
+     .option("path", f"{shared_folder(spark)}/{name}_words").saveAsTable(f"{name}_words"))
+    places = spark.table(f"{name}_words").where("block is not null").select("bucket", "block", "at", "lids")
+    classes = spark.table(f"{name}_words").where("block is null").select("bucket", "h", "class")
+
+    def classed(classes: DataFrame) -> DataFrame:
+        return (places.groupBy("bucket").cogroup(classes.groupBy("bucket"))
+                .applyInPandas(_classed, "block long, lids binary, class binary"))
+
     own = classed(classes)
     pairs = _pairs(blocks, own, n_classes)
-    groups = parts_for(sums["common"], BUCKET_WORDS * PARTS)
     for _ in range(SWEEPS if sums["common"] else 0):
         start = likelihood(pairs)
         for turn in range(PARTS):
             moved = (blocks.where("not held_out").select("block", "ids", "lids", "hashes", "counts").groupBy("block")
                      .cogroup(own.groupBy("block"))
                      .applyInPandas(_some(_contexts(turn, PARTS, groups, n_classes)),
-                                    "bucket long, h binary, own binary, width binary, k binary, n binary")
-                     .groupBy("bucket").applyInPandas(_exchange(pairs), "h long, class long"))
-            still = classes.where(F.col("h").bitwiseAND(F.lit(PARTS - 1)) != turn)
-            new = stored(still.union(moved), "classes")
+                                    "bucket long, h binary, width binary, k binary, n binary")
+                     .groupBy("bucket").cogroup(classes.groupBy("bucket"))
+                     .applyInPandas(_exchange(pairs), "bucket long, h binary, class binary"))
+            new = stored(moved, "classes")
             found = _pairs(blocks, classed(new), n_classes)
             # tasks do not see each other's moves: a round that lowers the likelihood is undone
             if likelihood(found) >= likelihood(pairs):

@@ -154,3 +154,36 @@ def test_python_meets_a_word_once_a_piece(monkeypatch):
     assert Counted.asked < len(got) / 2
     first = list(dict.fromkeys(w for t in want for w in t if w))
     assert spelt[1:] == first
+
+
+def test_a_round_moves_rows_by_bucket_and_block():
+    """Classes reach a block as one row for each bucket of words, however many words it holds; each word gets its own."""
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    h = np.unique(rng.integers(-2 ** 63, 2 ** 63 - 1, 5000))
+    rows = pd.DataFrame([(b << 12, lid, h[w]) for b in range(3) for lid, w in enumerate(rng.choice(len(h), 2000, False), 1)],
+                        columns=["block", "lid", "h"]).sample(frac=1, random_state=1)
+    rows["start"] = rows["h"] % 7 + 20
+    held = np.unique(rows["h"])
+    top = held[[900, 5, 77]]
+    found = lm._places(top)((4,), rows)
+    classes, places = found[found["block"].isna()], found[found["block"].notna()]
+    assert len(classes) == 1 and sorted(places["block"]) == [0, 1 << 12, 2 << 12]
+    assert np.frombuffer(classes["h"].iloc[0], "<i8").tolist() == held.tolist()
+    want = {int(x): int(x) % 7 + 20 for x in held} | {int(x): i + 1 for i, x in enumerate(top)}
+    for block, words in lm._classed(places, classes).groupby("block"):
+        mine = rows[rows["block"] == block]
+        table = lm._table(words)
+        assert table[mine["lid"]].tolist() == [want[int(x)] for x in mine["h"]]
+
+
+def test_sums_of_cells_are_those_of_each_word():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 300):
+        width = rng.integers(1, 40, n)
+        starts = np.cumsum(width) - width
+        rows, kind = rng.normal(size=(500, 33)), rng.integers(500, size=int(width.sum()))
+        want = [np.add.accumulate(rows[kind[a:a + w]])[-1] for a, w in zip(starts, width)]
+        got = lm._sums(rows, kind, starts, width)
+        assert (got == want).all() and np.allclose(got, np.add.reduceat(rows[kind], starts, axis=0), atol=1e-12)
